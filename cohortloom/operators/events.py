@@ -32,6 +32,10 @@ def mark_events(
     """
     if drop_unmarked:
         df = df.filter(reduce(or_, [cond for cond, _ in events.values()]))
+        if len(events) == 1:
+            # Every row left is marked; testing again would double the generated code.
+            [(name, (_, value))] = events.items()
+            return df.select(key, value.alias(name))
     return df.select(
         key, *(F.when(cond, value).alias(name) for name, (cond, value) in events.items())
     )
@@ -73,9 +77,13 @@ def last_events(
 
 
 def presence_flags(df: DataFrame, events: Mapping[str, Column], key: str = PATIENT) -> DataFrame:
-    """1 for each kind of event a key has, NULL for the others."""
-    marks = mark_events(df, {n: (cond, F.lit(1)) for n, cond in events.items()}, key)
-    return last_per_key(marks, key)
+    """1 for each kind of event a key has, NULL for the others; keys with none are left out.
+
+    Keys are dropped after the aggregate: as a row filter, a test on several classified
+    columns would be pushed down and run the whole classification once per flag.
+    """
+    marks = mark_events(df, {n: (cond, F.lit(1)) for n, cond in events.items()}, key, False)
+    return last_per_key(marks, key).filter(F.coalesce(*events).isNotNull())
 
 
 def as_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:

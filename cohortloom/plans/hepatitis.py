@@ -22,18 +22,26 @@ ELIGIBLE = "HCV_REGISTRY_ELIGIBLE"
 
 
 def lab_evidence_marks(results: DataFrame) -> DataFrame:
-    """Result time of each positive result under its kind of evidence."""
-    positive = results.filter(F.col("TEST_RESULT") == POSITIVE)
+    """Result time of each positive result under its kind of evidence.
+
+    Negative results stay as unmarked rows.  They cost one row per patient and task in the
+    shuffle, whereas a filter on the label is pushed below the columns the label is made of
+    and then repeats their expressions in every rule.
+    """
+    positive = F.col("TEST_RESULT") == POSITIVE
     return mark_events(
-        positive,
-        {n: (F.col("TEST_TYPE") == t, F.col("RESULT_TIME")) for n, t in LAB_EVIDENCE.items()},
+        results,
+        {
+            name: ((F.col("TEST_TYPE") == kind) & positive, F.col("RESULT_TIME"))
+            for name, kind in LAB_EVIDENCE.items()
+        },
         drop_unmarked=False,
     )
 
 
 def first_lab_evidence(results: DataFrame) -> DataFrame:
-    """First positive antibody, RNA and genotype result per patient."""
-    return first_per_key(lab_evidence_marks(results))
+    """First positive antibody, RNA and genotype result per patient with a positive result."""
+    return first_per_key(lab_evidence_marks(results.filter(F.col("TEST_RESULT") == POSITIVE)))
 
 
 def hepatitis_registry(

@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
 
 def _schema(text: str) -> StructType:
-    return StructType.fromDDL(text)
+    """``name type`` pairs; unlike DDL parsing this needs no running session."""
+    schema = StructType()
+    for column in text.split(","):
+        name, kind = column.split()
+        schema.add(name, _TYPES[kind])
+    return schema
 
 
 LABS = _schema(
@@ -52,4 +66,4 @@ PATIENT_IDS = _schema("PAT_ID bigint")
 SUBSTANCE_PATIENTS = _schema(
     "PAT_ID bigint, BIRTH_DATE date, PAT_SEX string, PATIENT_RACE string, ETHNIC_GROUP_NM string"
 )
-HIV_PATIENTS = StructType(SUBSTANCE_PATIENTS.fields).add("PAT_MRN_ID", "string")
+HIV_PATIENTS = StructType(SUBSTANCE_PATIENTS.fields + _schema("PAT_MRN_ID string").fields)

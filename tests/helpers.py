@@ -1,0 +1,46 @@
+"""Small source tables for tests."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from cohortloom.sources import schemas
+
+
+def day(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text)
+
+
+def make(spark: SparkSession, schema: StructType, rows: list[dict]) -> DataFrame:
+    """A table of the schema; columns a row does not name are NULL."""
+    unknown = {c for r in rows for c in r} - set(schema.names)
+    assert not unknown, unknown
+    return spark.createDataFrame([tuple(r.get(c) for c in schema.names) for r in rows], schema)
+
+
+def lab(value=None, comment=None, component=1526626, patient=1, order=1, **more) -> dict:
+    row = {
+        "PAT_ID": patient,
+        "ORDER_PROC_ID": order,
+        "ORDER_INST": day("2020-01-01"),
+        "SPECIMN_TAKEN_TIME": day("2020-01-01"),
+        "RESULT_TIME": day("2020-01-02"),
+        "COMPONENT_ID": component,
+        "ORD_VALUE": value,
+        "COMPONENT_COMMENT": comment,
+        "ORDER_STATUS_NM": "Completed",
+    }
+    return row | more
+
+
+def labs(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    return make(spark, schemas.LABS_WITH_REVIEW, rows)
+
+
+def by(df: DataFrame, *columns: str) -> list[tuple]:
+    """The rows of the named columns, sorted, NULL first."""
+    got = [tuple(r) for r in df.select(*columns).collect()]
+    return sorted(got, key=lambda r: [(v is not None, str(v)) for v in r])

@@ -1,0 +1,166 @@
+"""One row per rule arm, rule order, and the awkward values."""
+
+from __future__ import annotations
+
+import pytest
+
+from cohortloom.operators.results import hepatitis_results, hiv_results, usable_results
+
+from .helpers import by, lab, labs
+
+AB, RNA, GENOTYPE = 1526626, 784, 2618
+HIV_AB, HIV_RNA = 273, 1662
+P, N = "Positive", "Negative"
+
+HEPATITIS = [
+    # value, comment, component, label: one per rule, in rule order
+    ("<15 Detected", None, RNA, P),
+    ("1a", None, GENOTYPE, P),
+    ("SEE COMMENT", "non - reactive", AB, N),
+    ("SEE COMMENT", "not yet detected", AB, N),
+    ("SEE COMMENT", "less than 15", AB, N),
+    ("SEE COMMENT", "<15", AB, N),
+    ("NON-REACTIVE", None, AB, N),
+    ("NOT DETECTED", None, RNA, N),
+    ("<20", None, RNA, N),
+    ("Reactive", None, AB, P),
+    ("Detected", None, RNA, P),
+    ("250", None, RNA, P),
+    ("SEE COMMENT", "repeatedly so", AB, P),
+    ("SEE COMMENT", "Confirmation sent", AB, P),
+    ("SEE COMMENT", "DETECTED", AB, P),
+    ("SEE COMMENT", "GREATER THAN 100", AB, P),
+    ("SEE COMMENT", ">100", AB, P),
+    ("SEE COMMENT", None, AB, None),
+    # order of the rules
+    ("REACTIVE", "<15", AB, N),
+    ("<15 NOT DETECTED", None, RNA, P),
+    ("1a", "NON-REACTIVE", GENOTYPE, P),
+    ("1a", "NON-REACTIVE", AB, N),
+    ("7", None, GENOTYPE, P),
+    ("NOT DETECTED YET", None, RNA, P),
+    # patterns reach over line breaks
+    ("<15\nDETECTED", None, RNA, P),
+    ("SEE COMMENT", "NON\nREACTIVE", AB, N),
+    # the unusable marks are upper-case only, so this row stays, without a label
+    ("Invalid", None, AB, None),
+    ("", None, AB, None),
+]
+
+HIV = [
+    ("NEGATIVE", None, HIV_AB, N),
+    ("<30 Detected", None, HIV_RNA, P),
+    ("<30", None, HIV_RNA, N),
+    ("HIV Target Not Detected", None, HIV_RNA, N),
+    ("REACTIVE", None, HIV_AB, P),
+    ("POSITIVE", None, HIV_AB, P),
+    ("SEE COMMENT", "REPEATEDLY REACTIVE", HIV_AB, P),
+    ("SEE COMMENT", "repeatedly reactive", HIV_AB, P),
+    (">1,000", None, HIV_RNA, P),
+    ("DETECTED", None, HIV_RNA, P),
+    ("DETECTED  ", None, HIV_RNA, P),
+    ("DETECTED", None, HIV_AB, None),
+    ("1000", None, HIV_AB, None),
+    ("SEE COMMENT", "Repeatedly reactive", HIV_AB, None),
+    # letter case counts
+    ("<30 DETECTED", None, HIV_RNA, N),
+    ("negative", None, HIV_AB, None),
+    # no value: the comment may still tell
+    (None, "REPEATEDLY REACTIVE", HIV_AB, P),
+    (None, None, HIV_AB, None),
+]
+
+
+def classified(spark, function, cases):
+    rows = [lab(v, c, k, order=i) for i, (v, c, k, _) in enumerate(cases)]
+    got = dict(by(function(labs(spark, rows)), "ORDER_PROC_ID", "TEST_RESULT"))
+    return [(case[:3], got[i]) for i, case in enumerate(cases)]
+
+
+def test_hepatitis_rules(spark):
+    assert classified(spark, hepatitis_results, HEPATITIS) == [(c[:3], c[3]) for c in HEPATITIS]
+
+
+def test_hiv_rules(spark):
+    assert classified(spark, hiv_results, HIV) == [(c[:3], c[3]) for c in HIV]
+
+
+def test_ignoring_case(spark):
+    rows = [
+        lab("<30 NOT DETECTED", None, HIV_RNA, order=1),
+        lab("negative", None, HIV_AB, order=2),
+        lab("see comment", "Repeatedly reactive", HIV_AB, order=3),
+        lab("detected", None, HIV_RNA, order=4),
+        lab("invalid", None, HIV_AB, order=5),
+        lab("reactive", None, HIV_AB, order=6, ORDER_STATUS_NM="completed"),
+    ]
+    got = by(hiv_results(labs(spark, rows), ignore_case=True), "ORDER_PROC_ID", "TEST_RESULT")
+    assert got == [(1, P), (2, N), (3, P), (4, P), (6, P)]
+
+
+def test_null_value_is_dropped_or_kept(spark):
+    rows = [lab(None, "REPEATEDLY REACTIVE", c, order=c) for c in (AB, HIV_AB)]
+    assert by(hepatitis_results(labs(spark, rows)), "ORDER_PROC_ID") == []
+    assert by(hiv_results(labs(spark, rows)), "ORDER_PROC_ID", "TEST_RESULT") == [(HIV_AB, P)]
+
+
+def test_unusable_rows(spark):
+    values = ["INVALID", "INDETERMINATE", "TNP", "EQUIVOCAL", "REQUEST", "OK", None]
+    rows = [lab(v, order=i) for i, v in enumerate(values)]
+    rows += [
+        lab("OK", order=10, ORDER_STATUS_NM="Canceled"),
+        lab("OK", order=11, ORDER_STATUS_NM=None),
+        lab("OK", order=12, ORDER_STATUS_NM="Completed  "),
+        lab("OK", order=13, ORDER_STATUS_NM="Completed late"),
+        lab("OK", order=14, ORDER_STATUS_NM=" Completed"),
+    ]
+    df = labs(spark, rows)
+    assert by(usable_results(df), "ORDER_PROC_ID") == [(12,), (5,)]
+    assert by(usable_results(df, keep_null=True), "ORDER_PROC_ID") == [(12,), (5,), (6,)]
+
+
+NUMBERS = [
+    # text, double, int
+    ("250", 250.0, 250),
+    (">1,000", 1000.0, 1000),
+    ("=1.5", 1.5, None),
+    (" 12 ", 12.0, 12),
+    ("-3", -3.0, -3),
+    (".5", 0.5, None),
+    ("5.", 5.0, None),
+    ("1e3", 1000.0, None),
+    ("99999999999", 99999999999.0, None),
+    ("$", None, None),
+    ("-", None, None),
+    ("1d", None, None),
+    ("NaN", None, None),
+    ("Infinity", None, None),
+    ("1.2.3", None, None),
+    ("<20", None, None),
+    ("", None, None),
+]
+
+
+@pytest.mark.parametrize(
+    "function, component, wanted", [(hepatitis_results, RNA, 1), (hiv_results, HIV_RNA, 2)]
+)
+def test_numbers(spark, function, component, wanted):
+    rows = [lab(n[0], None, component, order=i) for i, n in enumerate(NUMBERS)]
+    got = dict(by(function(labs(spark, rows)), "ORDER_PROC_ID", "RNA_VALUE"))
+    assert [(n[0], got[i]) for i, n in enumerate(NUMBERS)] == [(n[0], n[wanted]) for n in NUMBERS]
+
+
+def test_only_viral_loads_have_a_number(spark):
+    rows = [lab("250", None, AB), lab("250", None, GENOTYPE)]
+    assert by(hepatitis_results(labs(spark, rows)), "RNA_VALUE") == [(None,), (None,)]
+
+
+def test_a_number_that_is_not_whole_is_still_positive(spark):
+    got = hiv_results(labs(spark, [lab("=1.5", None, HIV_RNA)]))
+    assert by(got, "ORD_VALUE_REPLACED", "RNA_VALUE", "TEST_RESULT") == [("1.5", None, P)]
+
+
+def test_text_is_upper_cased_for_hepatitis_only(spark):
+    df = labs(spark, [lab("a", "b", AB), lab("a", "b", HIV_AB)])
+    assert by(hepatitis_results(df), "ORD_VALUE", "COMPONENT_COMMENT") == [("A", "B")]
+    assert by(hiv_results(df), "ORD_VALUE", "COMPONENT_COMMENT") == [("a", "b")]
