@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PATIENT = "PAT_ID"
+_SEEN = "__seen"
 
 
 def mark_events(
@@ -61,29 +62,53 @@ def _reduce_marks(marks: DataFrame, pick, key: str) -> DataFrame:
 
 
 def first_events(
-    df: DataFrame, events: Mapping[str, Column], time: str, key: str = PATIENT
+    df: DataFrame,
+    events: Mapping[str, Column],
+    time: str,
+    key: str = PATIENT,
+    filter_rows: bool = True,
 ) -> DataFrame:
-    """First time of each kind of event per key (keys without any event are left out)."""
-    marks = mark_events(df, {n: (cond, F.col(time)) for n, cond in events.items()}, key)
-    return first_per_key(marks, key)
+    """First time of each kind of event per key (keys without any event are left out).
+
+    Rows without an event are filtered out before the aggregate, or with
+    ``filter_rows=False`` keys are after it.  Take the latter for conditions on classified
+    columns: a row filter on those is pushed below the classification and runs it once more
+    for every mention.
+    """
+    return _event_times(df, events, time, key, filter_rows, first_per_key)
 
 
 def last_events(
-    df: DataFrame, events: Mapping[str, Column], time: str, key: str = PATIENT
+    df: DataFrame,
+    events: Mapping[str, Column],
+    time: str,
+    key: str = PATIENT,
+    filter_rows: bool = True,
 ) -> DataFrame:
-    """Last date of each kind of event per key."""
-    marks = mark_events(df, {n: (cond, F.col(time)) for n, cond in events.items()}, key)
-    return as_dates(last_per_key(marks, key), events)
+    """Last date of each kind of event per key; ``filter_rows`` as for :func:`first_events`."""
+    return as_dates(_event_times(df, events, time, key, filter_rows, last_per_key), events)
+
 
+def _event_times(df, events, time, key, filter_rows, per_key) -> DataFrame:
+    marks = {n: (cond, F.col(time)) for n, cond in events.items()}
+    if filter_rows:
+        return per_key(mark_events(df, marks, key), key)
+    # An event may lack its time, so the times alone do not tell which keys have one.
+    marks[_SEEN] = (reduce(or_, events.values()), F.lit(1))
+    seen = per_key(mark_events(df, marks, key, drop_unmarked=False), key)
+    return seen.filter(F.col(_SEEN).isNotNull()).drop(_SEEN)
 
-def presence_flags(df: DataFrame, events: Mapping[str, Column], key: str = PATIENT) -> DataFrame:
+
+def presence_flags(
+    df: DataFrame, events: Mapping[str, Column], key: str = PATIENT, filter_rows: bool = True
+) -> DataFrame:
     """1 for each kind of event a key has, NULL for the others; keys with none are left out.
 
-    Keys are dropped after the aggregate: as a row filter, a test on several classified
-    columns would be pushed down and run the whole classification once per flag.
+    ``filter_rows`` as for :func:`first_events`.
     """
-    marks = mark_events(df, {n: (cond, F.lit(1)) for n, cond in events.items()}, key, False)
-    return last_per_key(marks, key).filter(F.coalesce(*events).isNotNull())
+    marks = {n: (cond, F.lit(1)) for n, cond in events.items()}
+    flags = last_per_key(mark_events(df, marks, key, drop_unmarked=filter_rows), key)
+    return flags if filter_rows else flags.filter(F.coalesce(*events).isNotNull())
 
 
 def as_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:

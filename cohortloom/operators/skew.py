@@ -1,4 +1,4 @@
-"""Joining a table, however unevenly keyed, to a lookup of one row per key.
+"""Joining a table, however unevenly keyed, to a lookup with about one row per key.
 
 A lookup is usually the output of an aggregate and so already spread by the key.  Spark would
 join on top of that, and then adaptive execution has no shuffle of the lookup to read twice:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.events import first_per_key, mark_events, stack_marks
+from ..operators.events import first_events, first_per_key, mark_events, stack_marks
 from ..operators.results import hepatitis_results
 from ..operators.skew import lookup_join
 from ..operators.treatments import treatment_marks
@@ -28,20 +28,22 @@ def lab_evidence_marks(results: DataFrame) -> DataFrame:
     shuffle, whereas a filter on the label is pushed below the columns the label is made of
     and then repeats their expressions in every rule.
     """
-    positive = F.col("TEST_RESULT") == POSITIVE
     return mark_events(
         results,
-        {
-            name: ((F.col("TEST_TYPE") == kind) & positive, F.col("RESULT_TIME"))
-            for name, kind in LAB_EVIDENCE.items()
-        },
+        {n: (cond, F.col("RESULT_TIME")) for n, cond in lab_evidence_conditions().items()},
         drop_unmarked=False,
     )
 
 
+def lab_evidence_conditions() -> dict:
+    """Which classified result is evidence of which kind."""
+    positive = F.col("TEST_RESULT") == POSITIVE
+    return {name: (F.col("TEST_TYPE") == kind) & positive for name, kind in LAB_EVIDENCE.items()}
+
+
 def first_lab_evidence(results: DataFrame) -> DataFrame:
     """First positive antibody, RNA and genotype result per patient with a positive result."""
-    return first_per_key(lab_evidence_marks(results.filter(F.col("TEST_RESULT") == POSITIVE)))
+    return first_events(results, lab_evidence_conditions(), "RESULT_TIME", filter_rows=False)
 
 
 def hepatitis_registry(

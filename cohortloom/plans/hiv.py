@@ -9,7 +9,9 @@ from ..functions.scalars import as_of_date, day_difference, zero_if_null
 from ..operators.comments import positive_comment_orders
 from ..operators.demographics import demographics
 from ..operators.encounters import ENGAGED, SEEN, encounter_marks
-from ..operators.events import as_dates, last_events, last_per_key, mark_events, stack_marks
+from ..operators.events import (
+    as_dates, last_events, last_per_key, mark_events, presence_flags, stack_marks,
+)
 from ..operators.results import hiv_results
 from ..operators.skew import lookup_join
 from ..operators.treatments import arv_order_marks
@@ -52,7 +54,12 @@ def last_test_conditions() -> dict:
 
 def last_test_dates(results: DataFrame) -> DataFrame:
     """Date of the latest viral load and CD4 order per patient."""
-    return last_events(results, last_test_conditions(), "ORDER_INST")
+    return last_events(results, last_test_conditions(), "ORDER_INST", filter_rows=False)
+
+
+def lab_flags(results: DataFrame) -> DataFrame:
+    """The flags of every patient with any, NULL for those that do not apply."""
+    return presence_flags(results, lab_flag_conditions(), filter_rows=False)
 
 
 def lab_marks(results: DataFrame) -> DataFrame:
@@ -67,11 +74,12 @@ def reactive_differentiation(comment_lines: DataFrame, results: DataFrame) -> Da
     by_comment = positive_comment_orders(comment_lines, results).select(
         "PAT_ID", F.lit(1).alias("AB_DIFF_REACTIVE")
     )
+    reactive = lab_flag_conditions()["AB_DIFF_REACTIVE"]
     by_result = mark_events(
-        results,
-        {"AB_DIFF_REACTIVE": (lab_flag_conditions()["AB_DIFF_REACTIVE"], F.lit(1))},
+        results, {"AB_DIFF_REACTIVE": (reactive, F.lit(1))}, drop_unmarked=False
     )
-    return last_per_key(stack_marks([by_comment, by_result]))
+    found = last_per_key(stack_marks([by_comment, by_result]))
+    return found.filter(F.col("AB_DIFF_REACTIVE").isNotNull())
 
 
 def hiv_registry(

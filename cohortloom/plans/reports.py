@@ -27,27 +27,18 @@ def result_combinations(labs: DataFrame, ignore_case: bool = False) -> DataFrame
     )
 
 
-def unflagged_labs(
-    labs: DataFrame, registry: DataFrame
-) -> DataFrame:
-    """Hepatitis C related laboratory rows of patients who were not flagged.
-
-    A patient in the registry n times gives each row n times.
-    """
+def unflagged_labs(labs: DataFrame, registry: DataFrame) -> DataFrame:
+    """Hepatitis C related laboratory rows of patients who were not flagged."""
     related = labs.filter(any_word(F.upper("COMPONENT_NM"), HEPATITIS_COMPONENT_NAMES))
-    unflagged = (
-        registry.filter(F.col(ELIGIBLE) == 0)
-        .groupBy("PAT_ID")
-        .agg(F.count(F.lit(1)).alias("__copies"))
-    )
-    columns = (
-        "PAT_ID", "PAT_ENC_CSN_ID", "PROC_CODE", "ORDER_DESCRIPTION", "COMPONENT_ID",
-        "COMPONENT_NM", "ORD_VALUE", "COMPONENT_COMMENT",
-    )
-    return (
-        lookup_join(related.select(*columns), unflagged, ["PAT_ID"], "inner")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*columns)
+    unflagged = registry.filter(F.col(ELIGIBLE) == 0).select("PAT_ID")
+    return lookup_join(
+        related.select(
+            "PAT_ID", "PAT_ENC_CSN_ID", "PROC_CODE", "ORDER_DESCRIPTION", "COMPONENT_ID",
+            "COMPONENT_NM", "ORD_VALUE", "COMPONENT_COMMENT",
+        ),
+        unflagged,
+        ["PAT_ID"],
+        "inner",
     )
 
 

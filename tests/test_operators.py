@@ -126,15 +126,19 @@ def test_first_last_and_presence(spark):
     ]
     df = spark.createDataFrame(rows, "PAT_ID bigint, k string, t timestamp_ntz")
     kinds = {"A": F.col("k") == "a", "B": F.col("k") == "b"}
-    assert by(first_events(df, kinds, "t"), "PAT_ID", "A", "B") == [
-        (1, day("2020-01-01T10:00:00"), None),
-        (2, None, None),
-    ]
-    assert by(last_events(df, kinds, "t"), "PAT_ID", "A", "B") == [
-        (1, D("2020-02-01"), None),
-        (2, None, None),
-    ]
-    assert by(presence_flags(df, kinds), "PAT_ID", "A", "B") == [(1, 1, 1), (2, None, 1)]
+    for early in (True, False):
+        assert by(first_events(df, kinds, "t", filter_rows=early), "PAT_ID", "A", "B") == [
+            (1, day("2020-01-01T10:00:00"), None),
+            (2, None, None),
+        ]
+        assert by(last_events(df, kinds, "t", filter_rows=early), "PAT_ID", "A", "B") == [
+            (1, D("2020-02-01"), None),
+            (2, None, None),
+        ]
+        flags = presence_flags(df, kinds, filter_rows=early)
+        assert by(flags, "PAT_ID", "A", "B") == [(1, 1, 1), (2, None, 1)]
+    # a single kind of event
+    assert by(first_events(df, {"A": kinds["A"]}, "t"), "PAT_ID") == [(1,)]
 
 
 def comment(order, line, text, patient=1):
