@@ -8,8 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What counts as a number, and as a whole number, in result text.
-NUMERIC_TEXT = r"^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
-INTEGER_TEXT = r"^ *[+-]?[0-9]+ *$"
+NUMERIC_TEXT = r"^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *\z"
+INTEGER_TEXT = r"^ *[+-]?[0-9]+ *\z"
 STRIPPED_SYMBOLS = ">=,"
 UNKNOWN = "Unknown"
 

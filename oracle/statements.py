@@ -10,8 +10,8 @@ from .views import COMMENTS, DIAGNOSES, ENCOUNTERS, LABS, MEDS, PATIENTS
 
 AS_OF = "DATE '2024-03-01'"
 
-_NUMBER = r"'^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$'"
-_INTEGER = r"'^ *[+-]?[0-9]+ *$'"
+_NUMBER = r"'^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *\z'"
+_INTEGER = r"'^ *[+-]?[0-9]+ *\z'"
 
 
 def _with(*parts: str, then: str) -> str:
@@ -277,6 +277,12 @@ _SEEN_PATIENTS = f"""seen_patients AS (
 # --- the statements ------------------------------------------------------------------------
 
 
+def results_of_table(kind: str) -> str:
+    """Classified results (``hcv`` or ``hiv``) of a table called ``labs``."""
+    parts = {"hcv": (_HCV_TYPES, _HCV_RESULTS), "hiv": (_HIV_TYPES, _HIV_RESULTS)}[kind]
+    return _with(*parts, then=f"FROM {kind}_results")
+
+
 def statements() -> dict[str, str]:
     found = {}
 
@@ -340,6 +346,13 @@ def statements() -> dict[str, str]:
         WHERE upper(rtrim(ORDER_STATUS_NM)) = 'COMPLETED'
           AND NOT regexp_matches(coalesce(ORD_VALUE, ''), 'INVALID|INDETER|TNP|EQ', 'i')""",
     )
+    add(
+        "classify_hcv_ignore_case",
+        LABS,
+        _HCV_TYPES,
+        _HCV_RESULTS.replace("'INVALID|INDETER|TNP|EQ'", "'INVALID|INDETER|TNP|EQ', 'i'"),
+        then=f"SELECT {_RESULT_COLUMNS}, TEST_TYPE, RNA_VALUE, TEST_RESULT FROM hcv_results",
+    )
     add("comment_concat", COMMENTS, *_HIV, _POSITIVE_COMMENTS, then="FROM positive_comments")
     add(
         "comment_indicator",
