@@ -48,7 +48,10 @@ class Pattern:
             # parquet scan.
             return text.startswith(parts[0]) & (F.rtrim(text) == parts[0])
         ordered = "%" + "%".join(_like_literal(p) for p in parts)
-        ordered += "" if self.kind == "fragments_at_end" else "%"
+        if self.kind == "fragments_at_end":
+            text = F.rtrim(text)  # nor do they count behind the end of a pattern
+        else:
+            ordered += "%"
         return reduce(and_, [*(text.contains(p) for p in parts), text.like(ordered)])
 
 

@@ -74,7 +74,8 @@ ETHNIC_GROUPS = ("Hispanic, Latino or Spanish ethnicity", "Not Hispanic", "Unkno
 
 def nth(index: Column, values: Sequence) -> Column:
     """Value number ``index`` of the list, NULL past its end."""
-    return F.get(F.array(*map(F.lit, values)), index)
+    items = ", ".join("NULL" if v is None else repr(v) for v in values)
+    return F.get(F.expr(f"array({items})"), index)
 
 
 # Columns of the sample tables the views read; naming them saves a look into the files.

@@ -50,7 +50,7 @@ _HCV_RESULTS = rf"""hcv_results AS (
       WHEN TEST_TYPE = 'Genotype' AND regexp_matches(raw, '[1-6]') THEN 'Positive'
       WHEN regexp_matches(upper(note), 'NON.*REACTIVE|NOT.*DETECTED|LESS THAN|<', 's')
         THEN 'Negative'
-      WHEN regexp_matches(upper(raw), 'NON|NOT.*DETECTED\z|<', 's') THEN 'Negative'
+      WHEN regexp_matches(upper(raw), 'NON|NOT.*DETECTED *\z|<', 's') THEN 'Negative'
       WHEN regexp_matches(upper(raw), 'REACTIVE|DETECTED|[0-9]') THEN 'Positive'
       WHEN regexp_matches(upper(note), 'REPEATEDLY|CONFIRMATION|DETECTED|GREATER THAN|>')
         THEN 'Positive'
@@ -133,18 +133,18 @@ _POSITIVE_COMMENTS = """positive_comments AS (
 
 _ARV = """arv AS (
   SELECT DISTINCT PAT_ID, 1 AS ARV_ORDERED FROM meds
-  WHERE ORDER_STATUS_NM IS DISTINCT FROM 'Canceled'
+  WHERE rtrim(ORDER_STATUS_NM) IS DISTINCT FROM 'Canceled'
     AND contains(upper(PHARM_SBCLS_LIST), 'RETROVIRAL')
-    AND PHARM_CLASS_LIST IS DISTINCT FROM 'HEPATITIS B TREATMENT AGENTS'
-    AND ATC_CODE NOT IN ('J05AR03', 'J05AR17'))"""
+    AND rtrim(PHARM_CLASS_LIST) IS DISTINCT FROM 'HEPATITIS B TREATMENT AGENTS'
+    AND rtrim(ATC_CODE) NOT IN ('J05AR03', 'J05AR17'))"""
 
 _SEEN = """seen AS (
   SELECT PAT_ID, max(CONTACT_DATE)::DATE AS LAST_SEEN_DATE,
-    (max(CONTACT_DATE) FILTER (APPT_STATUS_NM = 'Completed' AND regexp_matches(
+    (max(CONTACT_DATE) FILTER (rtrim(APPT_STATUS_NM) = 'Completed' AND regexp_matches(
       DEPARTMENT_NAME, 'HEALING WINGS|TRUE WORTH|CORRECTIONAL FACILITY')))::DATE
       AS LAST_ENGAGED_DATE
   FROM encounters
-  WHERE (APPT_STATUS_NM = 'Completed' OR HOSP_DISCH_TIME IS NOT NULL)
+  WHERE (rtrim(APPT_STATUS_NM) = 'Completed' OR HOSP_DISCH_TIME IS NOT NULL)
     AND NOT contains(upper(coalesce(ENC_TYPE_NM, '')), 'ERRONEOUS')
   GROUP BY ALL)"""
 
@@ -218,13 +218,13 @@ FROM (
 
 _NALOXONE = """naloxone AS (
   SELECT PAT_ID, max(ORDERING_DATE) AS NALOXONE_ORDER_DATE
-  FROM meds
-  WHERE ATC_CODE = 'V03AB15'
-    AND (ORDERING_PROV_LOGIN_LOC = 'JPS EMERGENCY' OR PAT_LOC_AT_ORDER = 'JPS EMERGENCY')
-    AND (PAT_ID, PAT_ENC_CSN_ID) IN (
-      SELECT (PAT_ID, PAT_ENC_CSN_ID) FROM encounters
+  FROM meds SEMI JOIN (
+      SELECT * FROM encounters
       WHERE EMER_ADM_DATE < coalesce(INP_ADM_DATE, TIMESTAMP '9999-12-31')
-        AND EMER_ADM_DATE < coalesce(OP_ADM_DATE, TIMESTAMP '9999-12-31'))
+        AND EMER_ADM_DATE < coalesce(OP_ADM_DATE, TIMESTAMP '9999-12-31')) AS visits
+    USING (PAT_ID, PAT_ENC_CSN_ID)
+  WHERE rtrim(ATC_CODE) = 'V03AB15' AND 'JPS EMERGENCY' IN
+      (coalesce(rtrim(ORDERING_PROV_LOGIN_LOC), ''), coalesce(rtrim(PAT_LOC_AT_ORDER), ''))
   GROUP BY ALL)"""
 
 _BUPRENORPHINE = """buprenorphine AS (
@@ -265,14 +265,17 @@ _DX_JOINS = " ".join(f"LEFT JOIN {name.lower()} USING (PAT_ID)" for name, _ in _
 
 _LATEST = """latest AS (
   SELECT PAT_ID, CONTACT_DATE, ENC_TYPE_NM, DEPARTMENT_NAME FROM encounters
-  WHERE APPT_STATUS_NM = 'Completed' OR HOSP_ADMSN_TIME IS NOT NULL
+  WHERE rtrim(APPT_STATUS_NM) = 'Completed' OR HOSP_ADMSN_TIME IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY PAT_ID ORDER BY CONTACT_DATE DESC NULLS LAST,
-    PAT_ENC_CSN_ID DESC NULLS LAST) = 1)"""
+    PAT_ENC_CSN_ID DESC NULLS LAST, ENC_TYPE_NM DESC NULLS LAST,
+    DEPARTMENT_NAME DESC NULLS LAST) = 1)"""
 
 _SEEN_PATIENTS = f"""seen_patients AS (
-  SELECT PAT_ID, {_AGE} AS AGE_YRS, coalesce(PAT_SEX, 'Unknown') AS SEX, {_RACETH} AS RACETH,
-    CONTACT_DATE::DATE AS RECENT_CONTACT_DATE, ENC_TYPE_NM, DEPARTMENT_NAME
-  FROM patients JOIN latest USING (PAT_ID))"""
+  SELECT PAT_ID, max({_AGE}) AS AGE_YRS, max(coalesce(PAT_SEX, 'Unknown')) AS SEX,
+    max({_RACETH}) AS RACETH, CONTACT_DATE::DATE AS RECENT_CONTACT_DATE, ENC_TYPE_NM,
+    DEPARTMENT_NAME
+  FROM patients JOIN latest USING (PAT_ID)
+  GROUP BY PAT_ID, CONTACT_DATE, ENC_TYPE_NM, DEPARTMENT_NAME)"""
 
 # --- the statements ------------------------------------------------------------------------
 
@@ -283,11 +286,15 @@ def results_of_table(kind: str) -> str:
     return _with(*parts, then=f"FROM {kind}_results")
 
 
-def statements() -> dict[str, str]:
+def statements(with_views: bool = True) -> dict[str, str]:
+    """The statements, over the sample tables or over tables named like the views."""
+    views = {COMMENTS, DIAGNOSES, ENCOUNTERS, LABS, MEDS, PATIENTS}
     found = {}
 
     def add(name: str, *parts: str, then: str) -> None:
-        found[name] = _with(*parts, then=then)
+        if not with_views:
+            parts = tuple(p for p in parts if p not in views)
+        found[name] = _with(*parts, then=then) if parts else then
 
     tagged = """SELECT PAT_ID, ORDER_PROC_ID, labs.COMPONENT_ID, TEST_TYPE
       FROM labs JOIN {0} ON labs.COMPONENT_ID = {0}.COMPONENT_ID"""
@@ -406,9 +413,9 @@ def statements() -> dict[str, str]:
         PATIENTS,
         *_HCV,
         _LAB_EVIDENCE,
-        then="""SELECT count(DISTINCT PAT_ID) AS IN_REGISTRY, count(DISTINCT CASE
-            WHEN FIRST_REACTIVE_DATE IS NOT NULL OR FIRST_DETECTED_DATE IS NOT NULL
-              OR FIRST_GENOTYPE_DATE IS NOT NULL THEN PAT_ID END) AS ELIGIBLE
+        then="""SELECT count(DISTINCT PAT_ID) AS IN_REGISTRY, count(*) FILTER (
+            FIRST_REACTIVE_DATE IS NOT NULL OR FIRST_DETECTED_DATE IS NOT NULL
+              OR FIRST_GENOTYPE_DATE IS NOT NULL) AS ELIGIBLE
           FROM patients LEFT JOIN lab_evidence USING (PAT_ID)""",
     )
     add("registry_hcv", *_HCV_ALL, then="FROM hcv_registry")
@@ -481,6 +488,6 @@ def statements() -> dict[str, str]:
         MEDS,
         ENCOUNTERS,
         _NALOXONE,
-        then="FROM naloxone ORDER BY PAT_ID LIMIT 10 OFFSET 10",
+        then="FROM naloxone ORDER BY PAT_ID NULLS FIRST LIMIT 10 OFFSET 10",
     )
     return found

@@ -39,6 +39,7 @@ HEPATITIS = [
     ("1a", "NON-REACTIVE", AB, N),
     ("7", None, GENOTYPE, P),
     ("NOT DETECTED YET", None, RNA, P),
+    ("NOT DETECTED  ", None, RNA, N),
     # patterns reach over line breaks
     ("<15\nDETECTED", None, RNA, P),
     ("SEE COMMENT", "NON\nREACTIVE", AB, N),
