@@ -283,7 +283,7 @@ _SEEN_PATIENTS = f"""seen_patients AS (
 def results_of_table(kind: str) -> str:
     """Classified results (``hcv`` or ``hiv``) of a table called ``labs``."""
     parts = {"hcv": (_HCV_TYPES, _HCV_RESULTS), "hiv": (_HIV_TYPES, _HIV_RESULTS)}[kind]
-    return _with(*parts, then=f"FROM {kind}_results")
+    return _with(*parts, then=f"SELECT * FROM {kind}_results")
 
 
 def statements(with_views: bool = True) -> dict[str, str]:
@@ -360,7 +360,7 @@ def statements(with_views: bool = True) -> dict[str, str]:
         _HCV_RESULTS.replace("'INVALID|INDETER|TNP|EQ'", "'INVALID|INDETER|TNP|EQ', 'i'"),
         then=f"SELECT {_RESULT_COLUMNS}, TEST_TYPE, RNA_VALUE, TEST_RESULT FROM hcv_results",
     )
-    add("comment_concat", COMMENTS, *_HIV, _POSITIVE_COMMENTS, then="FROM positive_comments")
+    add("comment_concat", COMMENTS, *_HIV, _POSITIVE_COMMENTS, then="SELECT * FROM positive_comments")
     add(
         "comment_indicator",
         COMMENTS,
@@ -369,9 +369,9 @@ def statements(with_views: bool = True) -> dict[str, str]:
             WHERE c.ORDER_PROC_ID = r.ORDER_PROC_ID) AS HAS_COMMENT
           FROM hiv_results r""",
     )
-    add("first_evidence_dates", *_HCV, _LAB_EVIDENCE, then="FROM lab_evidence")
-    add("first_treatment_ordered", MEDS, _ORDERED, then="FROM ordered")
-    add("first_treatment_active", MEDS, _ACTIVE, then="FROM active")
+    add("first_evidence_dates", *_HCV, _LAB_EVIDENCE, then="SELECT * FROM lab_evidence")
+    add("first_treatment_ordered", MEDS, _ORDERED, then="SELECT * FROM ordered")
+    add("first_treatment_active", MEDS, _ACTIVE, then="SELECT * FROM active")
 
     flagged = " UNION ".join(f"SELECT PAT_ID FROM {n.lower()}" for n in _FLAG_NAMES)
     joins = " ".join(f"LEFT JOIN {n.lower()} USING (PAT_ID)" for n in _FLAG_NAMES)
@@ -382,13 +382,13 @@ def statements(with_views: bool = True) -> dict[str, str]:
         then=f"SELECT PAT_ID, {', '.join(_FLAG_NAMES)} FROM ({flagged}) {joins}",
     )
     add(
-        "presence_union", COMMENTS, *_HIV, _POSITIVE_COMMENTS, _DIFF_UNION, then="FROM diff_union"
+        "presence_union", COMMENTS, *_HIV, _POSITIVE_COMMENTS, _DIFF_UNION, then="SELECT * FROM diff_union"
     )
-    add("last_test_dates", *_HIV, _LAST_TESTS, then="FROM last_tests")
-    add("arv_orders", MEDS, _ARV, then="FROM arv")
-    add("last_seen_engaged", ENCOUNTERS, _SEEN, then="FROM seen")
-    add("ed_naloxone", MEDS, ENCOUNTERS, _NALOXONE, then="FROM naloxone")
-    add("latest_drug_order", MEDS, _BUPRENORPHINE, then="FROM buprenorphine")
+    add("last_test_dates", *_HIV, _LAST_TESTS, then="SELECT * FROM last_tests")
+    add("arv_orders", MEDS, _ARV, then="SELECT * FROM arv")
+    add("last_seen_engaged", ENCOUNTERS, _SEEN, then="SELECT * FROM seen")
+    add("ed_naloxone", MEDS, ENCOUNTERS, _NALOXONE, then="SELECT * FROM naloxone")
+    add("latest_drug_order", MEDS, _BUPRENORPHINE, then="SELECT * FROM buprenorphine")
 
     diagnosed = " UNION ".join(f"SELECT PAT_ID FROM {name.lower()}" for name, _ in _DX)
     add(
@@ -403,9 +403,9 @@ def statements(with_views: bool = True) -> dict[str, str]:
         then=f"""SELECT PAT_ID, {_AGE} AS AGE, coalesce(PAT_SEX, 'Unknown') AS SEX,
           {_RACETH} AS RACETH FROM patients""",
     )
-    add("latest_encounter", ENCOUNTERS, _LATEST, then="FROM latest")
+    add("latest_encounter", ENCOUNTERS, _LATEST, then="SELECT * FROM latest")
     add(
-        "seen_patients", PATIENTS, ENCOUNTERS, _LATEST, _SEEN_PATIENTS, then="FROM seen_patients"
+        "seen_patients", PATIENTS, ENCOUNTERS, _LATEST, _SEEN_PATIENTS, then="SELECT * FROM seen_patients"
     )
 
     add(
@@ -418,7 +418,7 @@ def statements(with_views: bool = True) -> dict[str, str]:
               OR FIRST_GENOTYPE_DATE IS NOT NULL) AS ELIGIBLE
           FROM patients LEFT JOIN lab_evidence USING (PAT_ID)""",
     )
-    add("registry_hcv", *_HCV_ALL, then="FROM hcv_registry")
+    add("registry_hcv", *_HCV_ALL, then="SELECT * FROM hcv_registry")
     add(
         "registry_hcv_summary",
         *_HCV_ALL,
@@ -476,7 +476,7 @@ def statements(with_views: bool = True) -> dict[str, str]:
     add(
         "report_flagged_no_lab",
         *_HCV_ALL,
-        then="""FROM hcv_registry WHERE coalesce(FIRST_DETECTED_DATE, FIRST_REACTIVE_DATE) IS NULL
+        then="""SELECT * FROM hcv_registry WHERE coalesce(FIRST_DETECTED_DATE, FIRST_REACTIVE_DATE) IS NULL
           AND HCV_REGISTRY_ELIGIBLE = 1""",
     )
     service = """SELECT COMPONENT_ID, COMPONENT_NM, min(SPECIMN_TAKEN_TIME) AS "min",
@@ -488,6 +488,6 @@ def statements(with_views: bool = True) -> dict[str, str]:
         MEDS,
         ENCOUNTERS,
         _NALOXONE,
-        then="FROM naloxone ORDER BY PAT_ID NULLS FIRST LIMIT 10 OFFSET 10",
+        then="SELECT * FROM naloxone ORDER BY PAT_ID NULLS FIRST LIMIT 10 OFFSET 10",
     )
     return found
