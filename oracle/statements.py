@@ -360,7 +360,13 @@ def statements(with_views: bool = True) -> dict[str, str]:
         _HCV_RESULTS.replace("'INVALID|INDETER|TNP|EQ'", "'INVALID|INDETER|TNP|EQ', 'i'"),
         then=f"SELECT {_RESULT_COLUMNS}, TEST_TYPE, RNA_VALUE, TEST_RESULT FROM hcv_results",
     )
-    add("comment_concat", COMMENTS, *_HIV, _POSITIVE_COMMENTS, then="SELECT * FROM positive_comments")
+    add(
+        "comment_concat",
+        COMMENTS,
+        *_HIV,
+        _POSITIVE_COMMENTS,
+        then="SELECT * FROM positive_comments",
+    )
     add(
         "comment_indicator",
         COMMENTS,
@@ -382,7 +388,12 @@ def statements(with_views: bool = True) -> dict[str, str]:
         then=f"SELECT PAT_ID, {', '.join(_FLAG_NAMES)} FROM ({flagged}) {joins}",
     )
     add(
-        "presence_union", COMMENTS, *_HIV, _POSITIVE_COMMENTS, _DIFF_UNION, then="SELECT * FROM diff_union"
+        "presence_union",
+        COMMENTS,
+        *_HIV,
+        _POSITIVE_COMMENTS,
+        _DIFF_UNION,
+        then="SELECT * FROM diff_union",
     )
     add("last_test_dates", *_HIV, _LAST_TESTS, then="SELECT * FROM last_tests")
     add("arv_orders", MEDS, _ARV, then="SELECT * FROM arv")
@@ -405,7 +416,12 @@ def statements(with_views: bool = True) -> dict[str, str]:
     )
     add("latest_encounter", ENCOUNTERS, _LATEST, then="SELECT * FROM latest")
     add(
-        "seen_patients", PATIENTS, ENCOUNTERS, _LATEST, _SEEN_PATIENTS, then="SELECT * FROM seen_patients"
+        "seen_patients",
+        PATIENTS,
+        ENCOUNTERS,
+        _LATEST,
+        _SEEN_PATIENTS,
+        then="SELECT * FROM seen_patients",
     )
 
     add(
@@ -476,8 +492,9 @@ def statements(with_views: bool = True) -> dict[str, str]:
     add(
         "report_flagged_no_lab",
         *_HCV_ALL,
-        then="""SELECT * FROM hcv_registry WHERE coalesce(FIRST_DETECTED_DATE, FIRST_REACTIVE_DATE) IS NULL
-          AND HCV_REGISTRY_ELIGIBLE = 1""",
+        then="""SELECT * FROM hcv_registry
+          WHERE coalesce(FIRST_DETECTED_DATE, FIRST_REACTIVE_DATE) IS NULL
+            AND HCV_REGISTRY_ELIGIBLE = 1""",
     )
     service = """SELECT COMPONENT_ID, COMPONENT_NM, min(SPECIMN_TAKEN_TIME) AS "min",
       max(SPECIMN_TAKEN_TIME) AS "max" FROM labs SEMI JOIN {} USING (COMPONENT_ID) GROUP BY ALL"""
