@@ -37,7 +37,10 @@ def commented_orders(
 
 
 def positive_comments(
-    lines: DataFrame, results: DataFrame
+    lines: DataFrame,
+    results: DataFrame,
+    marks: Sequence[str] = POSITIVE_COMMENT_MARKS,
+    components: Sequence[int] = COMMENTED_COMPONENTS,
 ) -> DataFrame:
     """PAT_ID, ORDER_PROC_ID, COMMENT: an order's positive lines in line order.
 
@@ -47,8 +50,8 @@ def positive_comments(
     together in one task; only positive lines of matching orders get there.
     """
     matched = lookup_join(
-        positive_lines(lines).select("PAT_ID", ORDER, "LINE_COMMENT", "RESULTS_CMT"),
-        commented_orders(results),
+        positive_lines(lines, marks).select("PAT_ID", ORDER, "LINE_COMMENT", "RESULTS_CMT"),
+        commented_orders(results, components),
         [ORDER],
         "inner",
     )
@@ -66,10 +69,16 @@ def positive_comments(
     )
 
 
-def positive_comment_orders(lines: DataFrame, results: DataFrame) -> DataFrame:
+def positive_comment_orders(
+    lines: DataFrame,
+    results: DataFrame,
+    marks: Sequence[str] = POSITIVE_COMMENT_MARKS,
+    components: Sequence[int] = COMMENTED_COMPONENTS,
+) -> DataFrame:
     """PAT_ID, ORDER_PROC_ID of the orders above, without their text.
 
     Both sides are reduced to distinct orders before they meet.
     """
-    orders = commented_orders(results).select(ORDER)
-    return positive_lines(lines).select("PAT_ID", ORDER).distinct().join(orders, ORDER, "left_semi")
+    orders = commented_orders(results, components).select(ORDER)
+    positive = positive_lines(lines, marks).select("PAT_ID", ORDER).distinct()
+    return positive.join(orders, ORDER, "left_semi").select("PAT_ID", ORDER)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import any_word, equal, or_null
 from ..rules.keywords import CARE_SITES, ERRONEOUS
 from ..rules.result_rules import COMPLETED
-from .events import as_dates, last_per_key, mark_events
+from .events import as_dates, last_per_key, latest_row, mark_events
 
 SEEN = "LAST_SEEN_DATE"
 ENGAGED = "LAST_ENGAGED_DATE"
@@ -50,17 +50,9 @@ def latest_encounter(encounters: DataFrame, ignore_case: bool = False) -> DataFr
         equal(COMPLETED).on(F.col("APPT_STATUS_NM"), ignore_case)
         | F.col("HOSP_ADMSN_TIME").isNotNull()
     )
-    latest = F.max(F.struct("CONTACT_DATE", "PAT_ENC_CSN_ID", "ENC_TYPE_NM", "DEPARTMENT_NAME"))
-    return (
-        counted.groupBy("PAT_ID")
-        .agg(latest.alias("__latest"))
-        .select(
-            "PAT_ID",
-            "__latest.CONTACT_DATE",
-            "__latest.ENC_TYPE_NM",
-            "__latest.DEPARTMENT_NAME",
-        )
-    )
+    order = ("CONTACT_DATE", "PAT_ENC_CSN_ID")
+    latest = latest_row(counted, order, ("ENC_TYPE_NM", "DEPARTMENT_NAME"))
+    return latest.drop("PAT_ENC_CSN_ID")
 
 
 def emergency_encounters(encounters: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ which replaces one shuffle and one join per evidence kind by a single shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -111,6 +111,23 @@ def presence_flags(
     return flags if filter_rows else flags.filter(F.coalesce(*events).isNotNull())
 
 
+def latest_row(
+    df: DataFrame, order_by: Sequence[str], columns: Sequence[str], key: str = PATIENT
+) -> DataFrame:
+    """``key``, ``order_by`` and ``columns`` of each key's row that comes last in that order.
+
+    The row a descending ``row_number() == 1`` would keep (NULL counts as earliest, and rows
+    equal in ``order_by`` are decided by ``columns``), found by an aggregate: every task sends
+    one row per key, and no key's rows have to be sorted together.
+    """
+    names = tuple(dict.fromkeys((*order_by, *columns)))
+    return (
+        df.groupBy(key)
+        .agg(F.max(F.struct(*names)).alias("__last"))
+        .select(key, *(f"__last.{n}" for n in names))
+    )
+
+
 def as_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Drop the time of day from the named columns."""
     return df.withColumns({c: F.col(c).cast("date") for c in columns})

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions import patterns as pt
@@ -16,7 +17,9 @@ from cohortloom.operators.diagnoses import diagnosis_dates
 from cohortloom.operators.encounters import (
     emergency_encounters, last_seen_and_engaged, latest_encounter,
 )
-from cohortloom.operators.events import first_events, last_events, presence_flags
+from cohortloom.operators.events import (
+    first_events, last_events, latest_row, presence_flags,
+)
 from cohortloom.operators.results import hiv_results
 from cohortloom.operators.treatments import (
     arv_orders, emergency_orders, first_treatment, latest_drug_order,
@@ -327,6 +330,19 @@ def test_latest_encounter(spark):
     ]
 
 
+def test_latest_row_is_row_number_one(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 7 > 0, F.col("id") % 40).alias("PAT_ID"),
+        F.when(F.col("id") % 5 > 0, F.col("id") * 31 % 17).alias("a"),
+        (F.col("id") * 17 % 101).alias("b"),
+        F.col("id").alias("c"),
+    )
+    last_first = [F.col(n).desc_nulls_last() for n in ("a", "b", "c")]
+    rank = F.row_number().over(Window.partitionBy("PAT_ID").orderBy(*last_first))
+    want = df.withColumn("rank", rank).filter("rank = 1")
+    assert by(latest_row(df, ("a", "b"), ("c",)), *df.columns) == by(want, *df.columns)
+
+
 def diagnoses(spark, *rows):
     return make(
         spark,

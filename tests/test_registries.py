@@ -213,6 +213,41 @@ def test_partitioning_changes_nothing(spark):
     assert by(plain, *plain.columns) == by(other, *plain.columns)
 
 
+ECHOED = {"PAT_MRN_ID", "SEX", "RACE_PRIMARY", "HISPANIC_YN", "ENC_TYPE_NM", "DEPARTMENT_NAME"}
+
+
+def test_ignoring_case_means_case_changes_nothing(spark):
+    def registries(change):
+        v = {
+            n: change(getattr(views, n)(spark, FOLDER))
+            for n in ("patients", "labs", "comment_lines", "medications", "encounters",
+                      "diagnoses")
+        }
+        meds = v["medications"]
+        return [
+            hepatitis.hepatitis_registry(
+                v["patients"], v["labs"], meds, meds, ignore_case=True
+            ),
+            hiv.hiv_registry(
+                v["patients"], v["labs"], v["comment_lines"], meds, v["encounters"],
+                "2024-03-01", ignore_case=True,
+            ),
+            substance_use.substance_use_registry(
+                v["patients"], v["encounters"], v["diagnoses"], meds, "2024-03-01",
+                ignore_case=True,
+            ),
+        ]
+
+    def folded(how):
+        return lambda df: df.withColumns(
+            {f.name: how(f.name) for f in df.schema if f.dataType.simpleString() == "string"}
+        )
+
+    for lower, upper in zip(registries(folded(F.lower)), registries(folded(F.upper))):
+        columns = [c for c in lower.columns if c not in ECHOED]
+        assert by(lower, *columns) == by(upper, *columns)
+
+
 def test_one_row_per_patient(spark):
     people = views.patients(spark, FOLDER).count()
     for name in ("registry_hcv", "registry_hiv"):
