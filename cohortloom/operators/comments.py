@@ -63,7 +63,7 @@ def positive_comments(
         .groupBy("PAT_ID", ORDER)
         .agg(
             F.expr(
-                "listagg(__text, ' ') WITHIN GROUP (ORDER BY LINE_COMMENT ASC NULLS FIRST, __text)"
+                "listagg(__text, ' ') WITHIN GROUP (ORDER BY LINE_COMMENT NULLS FIRST, RESULTS_CMT)"
             ).alias("COMMENT")
         )
     )

@@ -172,6 +172,8 @@ def test_comment_text(spark):
             comment(1, 9, "HIV-1 POSITIVE", patient=7),
             comment(2, 1, "HIV-1 Positive"),
             comment(2, 2, "HIV-2 Positive"),
+            comment(2, 2, "HIV-2 Positive !", patient=8),
+            comment(2, 2, "HIV-2 Positive", patient=8),
             comment(3, 1, "HIV-1 Positive"),
             comment(4, 1, "HIV-1 Positive"),
             comment(5, 1, "HIV-1 Positive"),
@@ -181,6 +183,7 @@ def test_comment_text(spark):
         (1, 1, "no line: HIV-1 positive HIV-1 POSITIVE Hiv-2 positive"),
         (1, 7, "HIV-1 POSITIVE"),
         (2, 1, "HIV-1 Positive HIV-1 Positive HIV-2 Positive HIV-2 Positive"),
+        (2, 8, "HIV-2 Positive HIV-2 Positive HIV-2 Positive ! HIV-2 Positive !"),
     ]
 
 
