@@ -58,7 +58,7 @@ def fingerprint(*parts: Column, salt: int = 0) -> Column:
     return F.xxhash64(F.lit(salt), *parts)
 
 
-def sorted_lines(*parts: Column) -> Column:
+def sorted_lines(*parts: str) -> Column:
     """kind:start:end of all spans (structs start, rank, kind, stop) by start, comma-joined."""
     spans = F.array_sort(F.concat(*parts))
     return F.array_join(

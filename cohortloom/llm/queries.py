@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, linededup, mixing, quality
-from .common import documents
+from . import exact, linededup, mixing, quality, secrets
+from .common import documents, sorted_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(documents(spark, sf_dir)).select(
+        "doc_id",
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(sorted_lines("assign", "access", "hex"), 256).alias("base_sha256"),
+        sorted_lines("assign", "access", "hex", "random").alias("spans"),
+        F.size("random").cast("long").alias("n_random"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assessed(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -41,6 +51,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_secret_scans": op3_secret_scans,
         "op4_quality_rules": op4_quality_rules,
         "op5_line_dedup": op5_line_dedup,
         "op6_exact_dedup": op6_exact_dedup,
