@@ -4,15 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, linededup, mixing, quality, secrets
+from . import bpe, exact, linededup, mixing, quality, secrets
 from .common import documents, sorted_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encoded(documents(spark, sf_dir).select("doc_id", "text"), path)
+    return bpe.decoded(ids, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        bpe.ids_sha256("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, sf_dir)).select(
         "doc_id",
@@ -51,6 +63,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_bpe": op1_bpe,
         "op3_secret_scans": op3_secret_scans,
         "op4_quality_rules": op4_quality_rules,
         "op5_line_dedup": op5_line_dedup,
