@@ -228,7 +228,8 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         own = encoder(held.value)
         return _lists([own.encode(run) for run in portions(_strings(column))])
 
-    return docs.withColumn(ids, encode(F.col(text)))
+    # Not merged into what reads the ids: each reader would encode anew.
+    return docs.withColumn(ids, encode.asNondeterministic()(F.col(text)))
 
 
 def decoded(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
