@@ -17,17 +17,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared checkpoint folder, with their lineage cut.
+def durable_folder(spark: SparkSession) -> str:
+    """The application's folder in `spark.checkpoint.dir`, which all executors share.
 
-    The folder is the session's `spark.checkpoint.dir`. Where that is unset, a temporary folder
-    serves in local mode only, since other machines could not read it.
+    Where that is unset, a temporary folder serves in local mode only, since other machines could
+    not read it.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or "cluster" in context.master:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder, with their lineage cut."""
+    durable_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, linededup, mixing, quality, secrets
+from . import bpe, exact, linededup, mixing, quality, secrets, tokencount, tokenfiles
 from .common import documents, sorted_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,25 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = tokenfiles.new_folder(spark)
+    tokenfiles.write_token_files(
+        documents(spark, sf_dir), folder, public_tokenizers.path("word_bpe_49k.json")
+    )
+    return tokenfiles.read_token_files(spark, folder).select(
+        "doc_id", "start", "n_tokens", tokenfiles.ids_crc32("ids").alias("ids_crc32")
+    )
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select(
+        "doc_id", "text", tokencount.utf8_bytes("text").alias("n_bytes")
+    )
+    return tokencount.counted(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -69,6 +88,8 @@ def queries() -> dict[str, Query]:
         "op5_line_dedup": op5_line_dedup,
         "op6_exact_dedup": op6_exact_dedup,
         "op8_mixing": op8_mixing,
+        "op9_token_files": op9_token_files,
+        "op10_token_counts": op10_token_counts,
     }
 
 
