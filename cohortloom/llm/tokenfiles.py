@@ -23,7 +23,7 @@ END_ID = 1
 #: Row groups hold whole documents of about so many bytes, pages about so many; each page of each
 #: column is listed with its bounds, so that a reader finds documents without reading the others.
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 800_000
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
 
