@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, linededup, mixing, quality, secrets, tokencount, tokenfiles
+from . import bpe, exact, langid, linededup, mixing, quality, secrets, tokencount, tokenfiles
 from .common import documents, sorted_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(documents(spark, sf_dir))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(documents(spark, sf_dir))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         mixing.mixture(documents(spark, sf_dir))
@@ -87,6 +91,7 @@ def queries() -> dict[str, Query]:
         "op4_quality_rules": op4_quality_rules,
         "op5_line_dedup": op5_line_dedup,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_language_id": op7_language_id,
         "op8_mixing": op8_mixing,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
