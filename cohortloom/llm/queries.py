@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, linededup, mixing, quality, secrets, tokencount, tokenfiles
+import corpus_pipeline
+
+from . import bpe, exact, jaccard, langid, linededup, mixing, quality, secrets, tokencount, tokenfiles
 from .common import documents, sorted_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +27,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir), words=4, percent=85)
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, sf_dir)).select(
         "doc_id",
@@ -87,6 +93,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_ngram_jaccard": op2_ngram_jaccard,
         "op3_secret_scans": op3_secret_scans,
         "op4_quality_rules": op4_quality_rules,
         "op5_line_dedup": op5_line_dedup,
@@ -95,6 +102,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -139,4 +147,7 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": LINE_DEDUP, "op6_exact_dedup": EXACT_DEDUP}
+    known = {"op5_line_dedup": LINE_DEDUP, "op6_exact_dedup": EXACT_DEDUP}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        known["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return known
