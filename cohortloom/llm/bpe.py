@@ -21,8 +21,8 @@ PATTERN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 #: Words a worker remembers, and characters it works on at once.
-CACHED_WORDS = 400_000
-CHARACTERS = 1 << 20
+CACHED_WORDS = 250_000
+CHARACTERS = 1 << 19
 NONE = np.iinfo(np.int64).max
 
 

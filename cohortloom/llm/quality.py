@@ -107,32 +107,41 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     def chars(characters: str) -> Column:
         return F.size(F.regexp_extract_all(body, F.lit(characters), F.lit(0)))
 
+    measures = F.struct(
+        F.size("words").cast("long").alias("n_words"),
+        F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias(
+            "word_chars"
+        ),
+        chars("[#*$%&|<>]").cast("long").alias("n_symbols"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
+        F.size("lines").cast("long").alias("n_lines"),
+        chars(r"\p{Lu}").cast("long").alias("n_capitals"),
+        chars("!").cast("long").alias("n_exclaims"),
+        chars(r"[^\p{L}\p{N}\s]{3,}|(?<=\s)[^\p{L}\p{N}\s](?=\s)").cast("long").alias("n_marks"),
+        F.size(F.filter("words", lambda w: w.rlike(r"^\p{L}+[.,;:?!]?$")))
+        .cast("long")
+        .alias("n_plain"),
+        F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
+    )
+    # The optimiser writes an expression out wherever it is used, but not through an explode.
     return (
         docs.select(F.struct("*").alias("document"), whole_text(text).alias("body"))
-        .withColumns(
-            {
-                "words": F.regexp_extract_all(body, F.lit(WORD), F.lit(0)),
-                "lines": lines,
-            }
-        )
         .select(
             "document",
-            F.size("words").cast("long").alias("n_words"),
-            F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias(
-                "word_chars"
-            ),
-            chars("[#*$%&|<>]").cast("long").alias("n_symbols"),
-            (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-            repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
-            F.size("lines").cast("long").alias("n_lines"),
-            chars(r"\p{Lu}").cast("long").alias("n_capitals"),
-            chars("!").cast("long").alias("n_exclaims"),
-            chars(r"[^\p{L}\p{N}\s]{3,}|(?<=\s)[^\p{L}\p{N}\s](?=\s)").cast("long").alias("n_marks"),
-            F.size(F.filter("words", lambda w: w.rlike(r"^\p{L}+[.,;:?!]?$")))
-            .cast("long")
-            .alias("n_plain"),
-            F.size(F.array_distinct("words")).cast("long").alias("n_distinct"),
+            "body",
+            F.explode(
+                F.array(
+                    F.struct(
+                        F.regexp_extract_all(body, F.lit(WORD), F.lit(0)).alias("words"),
+                        lines.alias("lines"),
+                    )
+                )
+            ).alias("split"),
         )
+        .select("document", "body", "split.*")
+        .select("document", F.explode(F.array(measures)).alias("measures"))
+        .select("document", "measures.*")
     )
 
 
@@ -145,7 +154,7 @@ def votes(rules=RULES) -> Column:
     return F.concat(
         *(
             F.expr(
-                f"CASE WHEN try_divide(1, n_words) IS NULL THEN '1' WHEN {measure} > {bad} THEN '0' "
+                f"CASE WHEN n_words = 0 OR n_lines = 0 THEN '1' WHEN {measure} > {bad} THEN '0' "
                 f"WHEN {measure} <= {good} THEN '2' ELSE '1' END"
             )
             for _, measure, bad, good in rules
@@ -190,13 +199,15 @@ def posterior(pattern: str, share: float, rates: list[dict]) -> float:
     return 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
 
 
-def probability(pattern: Column, share: float, rates: list[dict]) -> Column:
-    """`posterior` as a column."""
+def probability(share: float, rates: list[dict], rules=RULES) -> Column:
+    """`posterior` of the votes, from the measures."""
     odds = F.lit(math.log(share / (1 - share)))
-    for place, rate in enumerate(rates):
-        vote = F.substring(pattern, place + 1, 1)
-        good, bad = (math.log(rate[1][v] / rate[0][v]) for v in "20")
-        odds = odds + F.when(vote == "2", good).when(vote == "0", bad).otherwise(0.0)
+    for (_, measure, bad, good), rate in zip(rules, rates, strict=True):
+        for_good, for_bad = (math.log(rate[1][v] / rate[0][v]) for v in "20")
+        odds = odds + F.expr(
+            f"CASE WHEN n_words = 0 OR n_lines = 0 THEN 0D WHEN {measure} > {bad} THEN {for_bad}D "
+            f"WHEN {measure} <= {good} THEN {for_good}D ELSE 0D END"
+        )
     return 1 / (1 + F.exp(-odds))
 
 
@@ -210,7 +221,7 @@ def judged(features: DataFrame, rules=RULES, least: float = 0.5) -> DataFrame:
     voted = features.withColumns({"votes": votes(rules), "base_failed": base_failed()})
     counts = voted.filter("NOT base_failed").groupBy("votes").count().collect()
     share, rates = fit({r["votes"]: r["count"] for r in counts}, len(rules))
-    return voted.withColumn("quality", probability(F.col("votes"), share, rates)).withColumn(
+    return voted.withColumn("quality", probability(share, rates, rules)).withColumn(
         "kept", ~F.col("base_failed") & (F.col("quality") >= least)
     )
 
@@ -236,6 +247,6 @@ def good_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     share, rates = fit({r["votes"]: r["count"] for r in narrow.collect()}, len(RULES))
     return (
-        features.filter(~base_failed() & (probability(votes(), share, rates) >= 0.5))
+        features.filter(~base_failed() & (probability(share, rates) >= 0.5))
         .select("document.*")
     )
