@@ -195,16 +195,16 @@ def _sketches(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def _runs(batches: Iterator[pa.RecordBatch], words: int):
     """(ids, shingles, sizes) of portions of the batches."""
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
         row = 0
         for run in portions(["" if t is None else t for t in batch.column(1).to_pylist()]):
-            yield ids[row : row + len(run)], *shingle_sets(run, words)
+            yield batch.column(0).slice(row, len(run)), *shingle_sets(run, words)
             row += len(run)
 
 
 def _batch(names: str, *columns) -> pa.RecordBatch:
+    signed = (c.view(np.int64) if isinstance(c, np.ndarray) and c.dtype == _U else c for c in columns)
     return pa.RecordBatch.from_arrays(
-        [pa.array(c.view(np.int64) if c.dtype == _U else c) for c in columns], names.split()
+        [c if isinstance(c, pa.Array) else pa.array(c) for c in signed], names.split()
     )
 
 
@@ -237,7 +237,7 @@ def keyed(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     met.add(p)
                     new[i] = True
             owner, key = join_keys(shingles[np.repeat(new, sizes)], sizes[new], percent)
-            yield _batch("key doc_id", key, ids[new][owner])
+            yield _batch("key doc_id", key, ids.to_numpy()[new][owner])
 
     return docs.mapInArrow(keys, "key long, doc_id long")
 
@@ -250,7 +250,7 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids),
+                    ids,
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(shingles.view(np.int64))),
                     pa.ListArray.from_arrays(
                         pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * SKETCH),
