@@ -1,0 +1,363 @@
+"""Quality rules, secrets, languages, mixing and the pipeline."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from cohortloom.llm import langid, mixing, quality, queries, secrets
+
+from .fixtures import odd_rows, sentence, split_words, table
+
+SMALL = "/root/testdata/sf0.001"
+
+
+# Quality rules
+
+
+def measures_want(text):
+    text = text or ""
+    w = split_words(text)
+    windows = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    covered = {j for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for j in range(i, i + 3)}
+    lines = [x for x in text.split("\n") if split_words(x)]
+    return {
+        "n_words": len(w),
+        "word_chars": sum(map(len, w)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+    }
+
+
+def fails(m):
+    return m["n_words"] < 50 or 100 * m["n_repeat_words"] > 50 * m["n_words"]
+
+
+def test_measures(spark):
+    rng = random.Random(4)
+    rows = [(1000 + i, rng.choice([" ", "\n"]).join(rng.choice("ab|#é") for _ in range(rng.randint(0, 30)))) for i in range(200)]
+    rows += [r[:2] for r in odd_rows() if r[0] is not None] + [(900, "x y z " * 4), (901, "x y z"), (902, "x x x x")]
+    want = defaultdict(list)
+    for i, t in rows:
+        want[i].append(measures_want(t))
+    got = quality.assessed(table(spark, rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        m = want[r["doc_id"]][0]
+        assert {k: r[k] for k in m} == m and r["base_failed"] == fails(m)
+        assert not (r["kept"] and r["base_failed"])
+
+
+def test_packed_hashes_that_meet_are_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PLACE_BITS", 60)  # four bits of hash: most windows meet
+    rows = [r[:2] for r in odd_rows() if r[0] is not None]
+    got = quality.assessed(table(spark, rows)).collect()
+    want = {i: measures_want(t)["n_repeat_words"] for i, t in rows}
+    assert all(r["n_repeat_words"] == want[r["doc_id"]] for r in got)
+
+
+def test_em_recovers_accuracies():
+    rng = random.Random(1)
+    right = [0.95, 0.9, 0.7, 0.85]
+    counts: Counter = Counter()
+    for _ in range(20_000):
+        good = rng.random() < 0.7
+        votes = ("2" if (rng.random() < a) == good else "0" for a in right)
+        counts["".join("1" if rng.random() < 0.2 else v for v in votes)] += 1
+    share, rates = quality.fit(counts, 4)
+    assert abs(share - 0.7) < 0.03
+    for a, rate in zip(right, rates, strict=True):
+        assert abs(rate[1]["2"] - a) < 0.05 and abs(rate[0]["0"] - a) < 0.05
+    assert quality.posterior("2222", share, rates) > 0.99 > 0.01 > quality.posterior("0000", share, rates)
+    assert quality.posterior("1111", share, rates) == pytest.approx(share)
+
+
+def test_posterior_column_is_the_posterior(spark):
+    features = quality.measured(table(spark, odd_rows()))
+    share, rates = quality.fit({"2" * 8: 90, "0" * 8: 10, "02121202": 5}, len(quality.RULES))
+    got = features.select(quality.votes().alias("v"), quality.probability(share, rates).alias("p")).collect()
+    assert all(r["p"] == pytest.approx(quality.posterior(r["v"], share, rates)) for r in got)
+
+
+def test_quality_agrees_with_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    got = queries.queries()["op4_quality_rules"](spark, folder).filter("NOT base_failed")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("quality").alias("good"))
+    hits = got.join(labels, "doc_id").groupBy("good", "kept").count().collect()
+    counts = {(r[0], r[1]): r[2] for r in hits}
+    assert counts.get((1, False), 0) <= 0.01 * counts[1, True]
+    assert counts.get((0, True), 0) <= 0.1 * counts[0, False]
+
+
+def test_good_documents_keep_their_columns(spark):
+    docs = table(spark, odd_rows())
+    got = quality.good_documents(docs)
+    assert got.columns == docs.columns
+    want = quality.assessed(docs).filter("kept").count()
+    assert got.count() == want > 0
+    assert quality.good_documents(docs.limit(0)).count() == quality.assessed(docs.limit(0)).count() == 0
+
+
+# Secrets
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
+)
+
+
+def spans_want(text):
+    text = text or ""
+    found = [(m.start(), 0, "assign", m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    return sorted(found)
+
+
+def test_base_spans(spark):
+    rng = random.Random(2)
+    pieces = [
+        "password", "Token", "api_key", "APIKEY", "secret", "=", ":", " ", '"', "'", "abc", "abcdef12", "😀é",
+        "AKIA", "A" * 17, "deadbeef" * 3, "0f" * 13, "\n", "a=b", "passwd:", "ab12", "token=secret=", ".",
+    ]
+    rows = [(i, "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))) for i in range(400)]
+    rows += [(999, None)]
+    got = secrets.secret_spans(table(spark, rows)).collect()
+    text = dict(rows)
+    for r in got:
+        mine = sorted(
+            (s["start"], s["rank"], s["kind"], s["stop"]) for k in ("assign", "access", "hex") for s in r[k]
+        )
+        assert mine == spans_want(text[r["doc_id"]]), text[r["doc_id"]]
+        for k in ("assign", "access", "hex", "random"):
+            assert all(s["value"] == text[r["doc_id"]][s["start"] : s["stop"]] for s in r[k])
+
+
+def test_random_strings_stand_out(spark):
+    rng = random.Random(3)
+    syllables = ["the", "ing", "tion", "er", "con", "ment", "able", "re", "pro", "ver", "ist", "al"]
+    def word():
+        return "".join(rng.choice(syllables) for _ in range(rng.randint(3, 5)))
+    def key():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(28))
+    rows = [(i, " ".join(word() for _ in range(200))) for i in range(50)]
+    rows += [(100 + i, f"{word()} password={key()} and {word()}") for i in range(100)]
+    rows += [(300 + i, f"{word()} {key()} {word()}") for i in range(20)]
+    rows += [(400 + i, f"{word()} {word()}{word().title()}{word().title()}2 {word()}") for i in range(20)]
+    got = {r["doc_id"]: len(r["random"]) for r in secrets.secret_spans(table(spark, rows)).collect()}
+    assert sum(got[300 + i] for i in range(20)) >= 18
+    assert sum(n for i, n in got.items() if not 300 <= i < 320) <= 1
+
+
+def test_secret_query(spark):
+    got = queries.queries()["op3_secret_scans"](spark, SMALL).collect()
+    text = {r[0]: r[1] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    assert len(got) == len(text)
+    for r in got:
+        want = spans_want(text[r["doc_id"]])
+        joined = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in want)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        kinds = Counter(w[2] for w in want)
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == (kinds["assign"], kinds["access"], kinds["hex"])
+        assert set(joined.split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def test_secrets_odd_rows(spark):
+    docs = table(spark, odd_rows())
+    assert secrets.secret_spans(docs).count() == docs.count()
+    assert secrets.secret_spans(docs.limit(0)).count() == 0
+
+
+# Languages
+
+
+def test_probabilities_add_up(spark, monkeypatch):
+    monkeypatch.setattr(langid, "BITS", 40)  # no two grams in one slot
+    rng = random.Random(6)
+    rows = [("x", sentence(rng, 60)), ("y", "".join(rng.choice("uvwz ") for _ in range(300)))]
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    models = langid.models_of(langid.fitted(labelled))
+    letters = np.arange(65536, dtype=np.uint64)
+    for context in ("   ", "abc", "uvw", "zzq"):
+        packed = sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(context))
+        p = 2.0 ** -models.bits(np.uint64(packed) + letters)
+        assert p.sum(axis=0) == pytest.approx([1, 1], abs=1e-6)
+
+
+def test_gram_counts(spark):
+    labelled = spark.createDataFrame([("x", "Ab,  c"), ("x", "ab"), ("y", ""), ("y", "7!")], "lang string, text string")
+    langid.ship(spark)
+    want: Counter = Counter()
+    for lang, letters in (("x", "ab c"), ("x", "ab")):
+        padded = "   " + letters
+        for i in range(len(letters)):
+            want[lang, sum(ord(c) << (16 * (3 - k)) for k, c in enumerate(padded[i : i + 4]))] += 1
+    got = {(r[0], r[1]): r[2] for r in langid.gram_counts(labelled).collect() if r[0] == "x"}
+    assert got == want
+
+
+def test_languages(spark):
+    folder = "/root/testdata/sf0.01"
+    got = queries.queries()["op7_language_id"](spark, folder).collect()
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert len(got) == len(docs)
+    for r in got:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) and 0 <= r["score"] <= 1
+    tested = [r for r in got if r["held_out"]]
+    right = sum(r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in tested)
+    assert right >= 0.97 * len(tested)
+    assert sum(r["accepted"] for r in tested) >= 0.9 * len(tested)
+
+
+def test_languages_odd_rows(spark):
+    docs = table(spark, odd_rows())
+    got = langid.identified(docs)
+    assert got.count() == docs.count()
+    for r in got.collect():
+        assert (r["lang_pred"] == "und") == (r["doc_id"] in (2, 3, 7) or r["bits"] is None)
+    assert langid.identified(docs.limit(0)).count() == 0
+    unlabelled = langid.identified(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
+    assert {(r["lang_pred"], r["score"], r["accepted"]) for r in unlabelled} == {("und", 0.0, False)}
+
+
+# Mixing
+
+
+def targets_want(sizes, most=3.0):
+    """Sharing by weight again and again until no source is above its limit."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(order)}
+    target, rest = {}, float(sum(sizes.values()))
+    while True:
+        free = [s for s in order if s not in target]
+        total = sum(weight[s] for s in free)
+        over = [s for s in free if rest * weight[s] / total > most * sizes[s]]
+        if not over:
+            return target | {s: rest * weight[s] / total for s in free}
+        for s in over:
+            target[s] = most * sizes[s]
+        rest = sum(sizes.values()) - sum(target.values())
+
+
+def test_targets(spark):
+    rng = random.Random(8)
+    for _ in range(4):
+        sizes = {s: rng.choice([0, 1, 10, 1000, 5000]) for s in [*"abcdeé", "zz", None]}
+        if not sum(sizes.values()):
+            continue
+        df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = {r["source"]: r["target"] for r in mixing.source_targets(df).collect()}
+        assert got == pytest.approx(targets_want(sizes))
+
+
+def test_mixture_odd_rows(spark):
+    docs = table(spark, odd_rows())
+    plan = mixing.mixture(docs)
+    rows = plan.collect()
+    assert sum(r["rows"] for r in rows) == docs.count()
+    sizes: dict = defaultdict(int)
+    taken: dict = defaultdict(int)
+    for r in rows:
+        sizes[r["source"]] += r["size"] * r["rows"]
+        taken[r["source"]] += r["taken"] * r["rows"]
+        assert r["taken"] == r["size"] * r["copies"] and r["copies"] <= 3
+        assert len(r["positions"]) == r["copies"] and all(0 <= p <= 1 for p in r["positions"])
+    want = targets_want(sizes)
+    for r in rows:
+        assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]])
+    assert mixing.mixture(docs.repartition(7)).exceptAll(plan).count() == 0
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.count() == sum(r["copies"] * r["rows"] for r in rows)
+    assert mixing.mixture(docs.limit(0)).count() == mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_taken_words_come_near_the_target(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = (
+        mixing.mixture(docs).groupBy("source")
+        .agg(F.sum(F.col("taken") * F.col("rows")).alias("taken"), F.first("target").alias("target")).collect()
+    )
+    assert all(abs(r["taken"] - r["target"]) <= 0.06 * r["target"] for r in got)
+    per = {r["doc_id"]: r for r in queries.queries()["op8_mixing"](spark, "/root/testdata/sf0.01").collect()}
+    assert len(per) == docs.count()
+    for r in docs.select("doc_id", "text").collect():
+        assert per[r[0]]["size"] == len(split_words(r[1])) and per[r[0]]["taken"] <= 3 * per[r[0]]["size"]
+
+
+def test_positions_follow_the_schedule(spark):
+    for ramp in mixing.RAMPS:
+        df = spark.range(11).select((F.col("id") * 100.0).alias("start"))
+        got = df.select("start", mixing.training_position(F.col("start"), F.lit(1000.0), F.lit(ramp)).alias("t"))
+        for r in got.collect():
+            asked = 1000 * ((1 + ramp) * r["t"] - ramp * r["t"] ** 2)
+            assert asked == pytest.approx(r["start"], abs=1e-6)
+
+
+def test_mixed_rows_come_in_order(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    at = {(r["doc_id"], round(p, 12)) for r in mixing.mixture(docs).collect() for p in r["positions"]}
+    order = [i for i, _ in sorted(at, key=lambda x: x[1])]
+    assert Counter(r["doc_id"] for r in mixing.mix(docs).collect()) == Counter(order)
+
+
+# Pipeline
+
+
+def test_stages_in_turn(spark):
+    """Every stage against plain Python on what the stage before returned."""
+    from .test_dedup import components_want
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    columns, tables = docs.columns, [docs.collect()]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SMALL)
+        rows = docs.collect()
+        docs = spark.createDataFrame(rows, docs.schema)
+        assert docs.columns[: len(columns)] == columns, name
+        tables.append(rows)
+    raw, good, unique, apart, mixed, ids = tables
+    passing = [r for r in raw if not fails(measures_want(r["text"]))]
+    assert {r["doc_id"] for r in good} <= {r["doc_id"] for r in passing}
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SMALL}/labels.parquet").collect()}
+    kept = {r["doc_id"] for r in good}
+    assert all(r["doc_id"] in kept for r in passing if labels.get(r["doc_id"]) == 1)
+    last: dict = {}
+    for r in good:
+        last[r["text"]] = max(r["doc_id"], last.get(r["text"], -1))
+    assert sorted(r["doc_id"] for r in unique) == sorted(last.values())
+    near = components_want([(r["doc_id"], r["text"]) for r in unique], 5, 80)
+    assert sorted(r["doc_id"] for r in apart) == sorted({c for _, c in near.values()})
+    sizes: dict = defaultdict(int)
+    for r in apart:
+        sizes[r["source"]] += len(split_words(r["text"]))
+    taken: dict = defaultdict(int)
+    for r in mixed:
+        taken[r["source"]] += len(split_words(r["text"]))
+    longest = max(len(split_words(r["text"])) for r in apart)
+    assert all(abs(taken[s] - t) <= longest for s, t in targets_want(sizes).items())
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert all(r["ids"] == lib.encode(r["text"], add_special_tokens=False).ids for r in ids)
+    assert Counter(r["doc_id"] for r in ids) == Counter(r["doc_id"] for r in mixed)
+    run = corpus_pipeline.run(spark, SMALL).select("doc_id").collect()
+    assert Counter(r["doc_id"] for r in run) == Counter(r["doc_id"] for r in ids)
+
+
+def test_pipeline_on_odd_and_empty_tables(spark):
+    for rows in (odd_rows(), []):
+        docs = table(spark, rows).drop("ids")
+        for _, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, SMALL)
+            rows = docs.collect()
+            docs = spark.createDataFrame(rows, docs.schema)
+        assert docs.columns[-1] == "ids"
