@@ -16,6 +16,8 @@ from .common import durable, ship
 WORDS, PERCENT = 5, 80
 #: Numbers of 64 bits in a sketch.
 SKETCH = 16
+#: Documents around one first document that a join may pair, and of a block where there are more.
+FEW, BLOCK = 64, 4096
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
 
@@ -92,7 +94,7 @@ class Bands:
 
     A band ends where a linked set could be beyond the next band. Sets of band g, and those of band
     g + 1 that may be linked with them, meet in group g. Linked sets a <= b differ in at most
-    a * (100 - p) / p ... tokens, as their union is at most a * 100 / p; the most in a group is
+    a * (100 - p) / p tokens, as their union is at most a * 100 / p; the most in a group is
     `most`. A sketch of more than `most` blocks has an equal block; `spare` further ones make up
     for blocks without tokens, which are not joined on.
     """
@@ -113,9 +115,15 @@ class Bands:
         return np.searchsorted(self.bounds, sizes, "right") - 1
 
 
+def distance(a: str, b: str) -> Column:
+    """In how many bits two sketches differ."""
+    ones = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(ones, F.lit(0), lambda total, x: total + x)
+
+
 def differing(a: Column, b: Column, percent: int) -> Column:
     """The most that linked sets of these sizes differ."""
-    return F.floor((a + b) * (100 - percent) / (100 + percent))
+    return F.floor((a + b) * (100 - percent) / (100 + percent)).cast("long")
 
 
 def _keys(shingles: np.ndarray, sizes: np.ndarray, group: np.ndarray, bands: Bands):
@@ -269,14 +277,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     near = (
         pairs.join(small.toDF("a", "sketch_a", "n_a"), "a")
         .join(small.toDF("b", "sketch_b", "n_b"), "b")
-        .filter(
-            F.aggregate(
-                F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                F.lit(0),
-                lambda s, x: s + x,
-            )
-            <= differing(F.col("n_a"), F.col("n_b"), percent)
-        )
+        .filter(distance("sketch_a", "sketch_b") <= differing(F.col("n_a"), F.col("n_b"), percent))
         .select("a", "b", "n_a", "n_b")
     )
     both = F.size(F.array_intersect("set_a", "set_b"))
@@ -315,6 +316,92 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("doc_id"), F.col("v").alias("component"))
 
 
+def compared(met: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a key, are in different components and whose sketches allow a link.
+
+    Documents that share a key share its first document, so they are compared once for each such
+    first document rather than for each key: those outside its component with all others. Few are
+    joined; many are dealt out in blocks, of which each task compares one pair.
+    """
+    component = F.coalesce("component", "doc_id")
+    labelled = met.select("key", "head", "doc_id").join(joined, "doc_id", "left").select(
+        "key", "head", "doc_id", component.alias("component")
+    )
+    split = labelled.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    members = (
+        labelled.join(split.filter("least < most").select("key"), "key", "left_semi")
+        .select("head", "doc_id", "component")
+        .distinct()
+        .join(sets.select("doc_id", "sketch", F.size("shingles").alias("n")), "doc_id")
+    )
+    mains = joined.select(F.col("doc_id").alias("head"), F.col("component").alias("main"))
+    members = members.join(mains, "head", "left").withColumn(
+        "outside", F.col("component") != F.coalesce("main", "head")
+    )
+    members = durable(members.drop("main"))
+    sizes = members.groupBy("head").agg(
+        F.count(F.lit(1)).alias("members"), F.count_if("outside").alias("outsiders")
+    )
+    members = members.join(sizes, "head")
+    columns = ("head", "doc_id", "component", "sketch", "n")
+
+    def named(rows: DataFrame, side: str) -> DataFrame:
+        return rows.select(*(F.col(c).alias(f"{c}_{side}") for c in columns), "members", "outsiders")
+
+    left, right = named(members.filter("outside"), "a"), named(members, "b")
+    few = (
+        left.filter(F.col("members") <= FEW)
+        .drop("members", "outsiders")
+        .join(
+            right.filter(F.col("members") <= FEW).drop("members", "outsiders"),
+            F.col("head_a") == F.col("head_b"),
+        )
+        .filter("component_a <> component_b")
+        .filter(distance("sketch_a", "sketch_b") <= differing(F.col("n_a"), F.col("n_b"), percent))
+        .select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"))
+    )
+
+    def dealt(rows: DataFrame, side: str, own: str, other: str) -> DataFrame:
+        """Each row in its own block, for every block of the other side."""
+        blocks = {c: F.ceil(F.col(c) / F.lit(BLOCK)) for c in ("members", "outsiders")}
+        return (
+            rows.filter(F.col("members") > FEW)
+            .withColumn(own, F.pmod(F.xxhash64(f"doc_id_{side}"), blocks[own]).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), blocks[other].cast("int") - 1)))
+        )
+
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        def arrays(t: pa.Table, side: str):
+            flat = t.column(f"sketch_{side}").combine_chunks().flatten().to_numpy()
+            return (
+                flat.view(_U).reshape(-1, SKETCH),
+                *(t.column(f"{c}_{side}").to_numpy() for c in ("doc_id", "component", "n")),
+            )
+
+        (sa, da, ca, na), (sb, db, cb, nb) = arrays(one, "a"), arrays(two, "b")
+        firsts, seconds = [], []
+        for i in range(len(da)):
+            apart = np.bitwise_count(sb ^ sa[i]).sum(axis=1, dtype=np.int64)
+            near = (apart <= (nb + na[i]) * (100 - percent) // (100 + percent)) & (cb != ca[i])
+            firsts.append(np.minimum(db[near], da[i]))
+            seconds.append(np.maximum(db[near], da[i]))
+        none = np.zeros(0, np.int64)
+        return pa.table(
+            {"a": np.concatenate([none, *firsts]), "b": np.concatenate([none, *seconds])}
+        )
+
+    many = (
+        dealt(left, "a", "outsiders", "members").groupBy("head_a", "outsiders", "members")
+        .cogroup(
+            dealt(right, "b", "members", "outsiders").groupBy("head_b", "outsiders", "members")
+        )
+        .applyInArrow(compare, "a long, b long")
+    )
+    return few.unionByName(many).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -377,24 +464,7 @@ def near_duplicates(
     sets = durable(sets_of(named.join(wanted, "doc_id", "left_semi"), words))
     links = durable(verified(candidates, sets, percent).unionByName(equal))
     joined = components(links)
-    # Documents of one key in different components, that no pair has compared.
-    labelled = met.select("key", "doc_id").join(joined, "doc_id", "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    split = labelled.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    )
-    apart = durable(
-        labelled.join(split.filter("least < most").select("key"), "key").distinct()
-    )
-    across = (
-        apart.toDF("key", "a", "ca")
-        .join(apart.toDF("key", "b", "cb"), "key")
-        .filter("ca <> cb AND a < b")
-        .select("a", "b")
-        .distinct()
-        .join(candidates, ["a", "b"], "left_anti")
-    )
+    across = durable(compared(met, joined, sets, percent).join(candidates, ["a", "b"], "left_anti"))
     late = durable(verified(across, sets, percent))
     if not late.isEmpty():
         joined = components(links.unionByName(late))
