@@ -24,8 +24,9 @@ def is_numeric(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    """The number in the text, NULL where there is none (never an error)."""
-    return F.when(is_numeric(text), text.try_cast("double"))
+    """The number in the text, NULL where there is none or it is too large (never an error)."""
+    number = text.try_cast("double")
+    return F.when(is_numeric(text) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
 def to_int(text: Column) -> Column:

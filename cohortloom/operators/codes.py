@@ -18,8 +18,23 @@ def code_table(
     type_col: str = "TEST_TYPE",
 ) -> DataFrame:
     """The code sets as a small table, one row per code."""
-    rows = ", ".join(f"({int(c)}, '{t}')" for t, codes in code_sets.items() for c in codes)
-    return spark.sql(f"SELECT * FROM VALUES {rows} AS codes({code_col}, {type_col})")
+    check_disjoint(code_sets)
+    rows = [(int(c), t) for t, codes in code_sets.items() for c in codes]
+    entries = F.array(*(F.struct(F.lit(c).alias("c"), F.lit(t).alias("t")) for c, t in rows))
+    return (
+        spark.range(1)
+        .select(F.explode(entries).alias("entry"))
+        .select(F.col("entry.c").alias(code_col), F.col("entry.t").alias(type_col))
+    )
+
+
+def check_disjoint(code_sets: CodeSets) -> None:
+    """ValueError if a code stands in two sets: it would have two types."""
+    seen: dict[int, str] = {}
+    for name, codes in code_sets.items():
+        for code in codes:
+            if seen.setdefault(int(code), name) != name:
+                raise ValueError(f"code {code} is in {seen[int(code)]!r} and in {name!r}")
 
 
 def type_of(code: Column, code_sets: CodeSets) -> Column:
@@ -41,6 +56,7 @@ def tag_codes(
 
     The sets are literals, so the filter reaches the parquet scan and no join is planned.
     """
+    check_disjoint(code_sets)
     known = sorted(chain.from_iterable(code_sets.values()))
     return df.filter(F.col(code_col).isin(*known)).withColumn(
         type_col, type_of(F.col(code_col), code_sets)

@@ -49,6 +49,8 @@ def numeric_result(kind: str, test_type: Column, stripped: Column) -> Column:
 
 def classify(rules: Sequence[ResultRule], ignore_case: bool = False) -> Column:
     """Label of the first rule that matches, NULL if none does."""
+    if not rules:
+        return F.lit(None).cast("string")
     label = F
     for rule in rules:
         match = rule.pattern.on(F.col(rule.column), ignore_case)

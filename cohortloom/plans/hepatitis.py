@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators.events import first_events, first_per_key, mark_events, stack_marks
 from ..operators.results import hepatitis_results
-from ..operators.skew import lookup_join
 from ..operators.treatments import treatment_marks
 from ..rules.keywords import HEPATITIS_BRANDS, HEPATITIS_DRUGS
 from ..rules.result_rules import POSITIVE
@@ -57,25 +56,34 @@ def hepatitis_registry(
     """One row per patient row: first date of each kind of evidence, and eligibility.
 
     A patient is eligible with at least one *dated* piece of evidence.  ``results`` takes
-    already classified results in place of ``labs``; either medication table may be left out.
+    already classified results in place of ``labs``; either medication table may be left out, its
+    date is then NULL.
     """
     if results is None:
+        if labs is None:
+            raise ValueError("either labs or results must be given")
         results = hepatitis_results(labs, ignore_case=ignore_case)
     marks = [lab_evidence_marks(results)]
-    dates = list(LAB_EVIDENCE)
+    absent = []
     if medications is not None:
         marks.append(
             treatment_marks(medications, "ATC_TITLE", HEPATITIS_DRUGS, ORDERED, ignore_case)
         )
-        dates.append(ORDERED)
+    else:
+        absent.append(ORDERED)
     if active_medications is not None:
         names = HEPATITIS_DRUGS + HEPATITIS_BRANDS
         marks.append(
             treatment_marks(active_medications, "MEDICATION_NAME", names, ACTIVE, ignore_case)
         )
-        dates.append(ACTIVE)
-    evidence = first_per_key(stack_marks(marks))
-    return lookup_join(patients.select("PAT_ID"), evidence, ["PAT_ID"], "left").select(
+    else:
+        absent.append(ACTIVE)
+    evidence = first_per_key(stack_marks(marks)).withColumns(
+        {name: F.lit(None).cast("timestamp_ntz") for name in absent}
+    )
+    dates = [*LAB_EVIDENCE, ORDERED, ACTIVE]
+    # Patients stand in about one row each: no key to split, so the aggregate's spread serves.
+    return patients.select("PAT_ID").join(evidence, "PAT_ID", "left").select(
         "PAT_ID",
         *dates,
         F.coalesce(*dates).isNotNull().cast("int").alias(ELIGIBLE),

@@ -13,7 +13,6 @@ from ..operators.events import (
     as_dates, last_events, last_per_key, mark_events, presence_flags, stack_marks,
 )
 from ..operators.results import hiv_results
-from ..operators.skew import lookup_join
 from ..operators.treatments import arv_order_marks
 from ..rules.keywords import EXCLUDED, IN_REGISTRY
 from ..rules.result_rules import POSITIVE
@@ -95,23 +94,28 @@ def hiv_registry(
     """One row per patient row: demographics, test flags, recency, care, and the label.
 
     Results, comments, orders and encounters are marked row by row and reduced per patient
-    by one aggregate, then joined to the patients once.
+    by one aggregate, then joined to the patients once.  ``results`` takes already classified
+    results in place of ``labs``.  Without comments, medications or encounters, what only they tell
+    is 0 or NULL; the columns stay.
     """
     if results is None:
+        if labs is None:
+            raise ValueError("either labs or results must be given")
         results = hiv_results(labs, ignore_case=ignore_case)
-    by_comment = positive_comment_orders(comment_lines, results).select(
-        "PAT_ID", F.lit(1).alias("AB_DIFF_REACTIVE")
-    )
-    evidence = last_per_key(
-        stack_marks(
-            [
-                lab_marks(results),
-                by_comment,
-                arv_order_marks(medications, ignore_case),
-                encounter_marks(encounters, ignore_case=ignore_case),
-            ]
-        )
-    )
+    marks = [lab_marks(results)]
+    absent = {}
+    if comment_lines is not None:
+        orders = positive_comment_orders(comment_lines, results)
+        marks.append(orders.select("PAT_ID", F.lit(1).alias("AB_DIFF_REACTIVE")))
+    if medications is not None:
+        marks.append(arv_order_marks(medications, ignore_case))
+    else:
+        absent["ARV_ORDERED"] = F.lit(None).cast("int")
+    if encounters is not None:
+        marks.append(encounter_marks(encounters, ignore_case=ignore_case))
+    else:
+        absent |= dict.fromkeys((SEEN, ENGAGED), F.lit(None).cast("timestamp_ntz"))
+    evidence = last_per_key(stack_marks(marks)).withColumns(absent)
     evidence = as_dates(evidence, (RNA_DATE, CD4_DATE, SEEN, ENGAGED))
 
     known = patients.select(
@@ -119,7 +123,7 @@ def hiv_registry(
     )
     today = as_of_date(as_of)
     rows = demographics(
-        lookup_join(known, evidence, ["PAT_ID"], "left"), as_of, ignore_case=ignore_case
+        known.join(evidence, "PAT_ID", "left"), as_of, ignore_case=ignore_case
     )
     rows = rows.withColumns({f: zero_if_null(F.col(f)) for f in FLAGS}).withColumns(
         {

@@ -11,11 +11,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..rules.code_sets import HEPATITIS_CODES, HIV_CODES
+from ..rules.keywords import HEPATITIS_BRANDS, HEPATITIS_DRUGS
+from .schemas import table_schema
+from .tables import read_source
+
 # Fixed values of the views.
-COMPONENTS = (
+NAMED_COMPONENTS = (
     1526626, 1230000019, 784, 1811181, 4338, 1230001113, 2618, 3061, 1230001115, 273,
     1230001172, 2221, 2222, 1257, 268, 1558004, 1510740, 1662, 1558135, 1558134,
 )
+# All codes of the registries, those above first.
+COMPONENTS = tuple(
+    dict.fromkeys(
+        [*NAMED_COMPONENTS]
+        + [c for s in (HEPATITIS_CODES, HIV_CODES) for codes in s.values() for c in codes]
+    )
+)
 OTHER_COMPONENT = 999
 COMPONENT_NAMES = (
     "Hepatitis C antibody", "HCV antibody IgG", "HCV RNA qualitative", "HCV RNA PCR",
@@ -43,8 +55,12 @@ DESCRIPTIONS = ("Hepatitis C screen", "HCV quantitative", "HIV panel")
 ATC_CODES = ("J05AR03", "J05AR17", "J05AR13", "V03AB15", "N07BC01", "N07BC51")
 ATC_TITLES = (
     "SOFOSBUVIR", "LEDIPASVIR AND SOFOSBUVIR", "PEGINTERFERON ALFA-2A", "VELPATASVIR",
+    "sofosbuvir", *HEPATITIS_DRUGS,
+)
+MEDICATION_NAMES = (
+    "MAVYRET", "EPCLUSA (SOFOSBUVIR)", "ZEPATIER", "PEGASYS", "mavyret", *HEPATITIS_DRUGS,
+    *HEPATITIS_BRANDS,
 )
-MEDICATION_NAMES = ("MAVYRET", "EPCLUSA (SOFOSBUVIR)", "ZEPATIER", "PEGASYS")
 ORDER_STATUSES = ("Canceled", "Sent")
 DRUG_SUBCLASSES = ("Antiretroviral combo", "ANTIRETROVIRALS")
 DRUG_CLASSES = ("HEPATITIS B TREATMENT AGENTS", "ANTIVIRALS")
@@ -78,19 +94,22 @@ def nth(index: Column, values: Sequence) -> Column:
     return F.get(F.expr(f"array({items})"), index)
 
 
-# Columns of the sample tables the views read; naming them saves a look into the files.
+# Columns of the sample tables the views read.
 TABLES = {
-    "customer": "c_custkey bigint, c_name string, c_nationkey int",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string,"
-    " o_orderdate timestamp_ntz",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
-    " l_linestatus string, l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint",
+    "customer": table_schema("c_custkey bigint, c_name string, c_nationkey int"),
+    "orders": table_schema(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz"
+    ),
+    "lineitem": table_schema(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": table_schema("event_id bigint, ts timestamp_ntz, user_id bigint"),
 }
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
+    return read_source(spark, f"{folder}/{name}.parquet", TABLES[name])
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,6 +152,7 @@ def labs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def comment_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the order lines, so that there are orders without comments too."""
     line, part = F.col("l_linenumber"), F.col("l_partkey")
     return (
         order_lines(spark, folder)

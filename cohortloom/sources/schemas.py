@@ -14,7 +14,7 @@ _TYPES = {
 }
 
 
-def _schema(text: str) -> StructType:
+def table_schema(text: str) -> StructType:
     """``name type`` pairs; unlike DDL parsing this needs no running session."""
     schema = StructType()
     for column in text.split(","):
@@ -23,47 +23,47 @@ def _schema(text: str) -> StructType:
     return schema
 
 
-LABS = _schema(
+LABS = table_schema(
     "PAT_ID bigint, ORDER_PROC_ID bigint, ORDER_INST timestamp_ntz,"
     " SPECIMN_TAKEN_TIME timestamp_ntz, RESULT_TIME timestamp_ntz, COMPONENT_ID int,"
     " ORD_VALUE string, COMPONENT_COMMENT string, ORDER_STATUS_NM string"
 )
-LAB_REVIEW = _schema(
+LAB_REVIEW = table_schema(
     "COMPONENT_NM string, PAT_ENC_CSN_ID bigint, PROC_CODE string, ORDER_DESCRIPTION string"
 )
 LABS_WITH_REVIEW = StructType(LABS.fields + LAB_REVIEW.fields)
-COMMENT_LINES = _schema(
+COMMENT_LINES = table_schema(
     "PAT_ID bigint, ORDER_PROC_ID bigint, LINE_COMMENT int, RESULTS_CMT string"
 )
-HEPATITIS_MEDICATIONS = _schema(
+HEPATITIS_MEDICATIONS = table_schema(
     "PAT_ID bigint, ATC_TITLE string, START_DATE timestamp_ntz, ORDERING_DATE timestamp_ntz"
 )
-ACTIVE_MEDICATIONS = _schema(
+ACTIVE_MEDICATIONS = table_schema(
     "PAT_ID bigint, MEDICATION_NAME string, START_DATE timestamp_ntz, ORDERING_DATE timestamp_ntz"
 )
-HIV_MEDICATIONS = _schema(
+HIV_MEDICATIONS = table_schema(
     "PAT_ID bigint, ORDER_STATUS_NM string, PHARM_SBCLS_LIST string, PHARM_CLASS_LIST string,"
     " ATC_CODE string"
 )
-SUBSTANCE_MEDICATIONS = _schema(
+SUBSTANCE_MEDICATIONS = table_schema(
     "PAT_ID bigint, PAT_ENC_CSN_ID bigint, ATC_CODE string, ORDERING_DATE timestamp_ntz,"
     " ORDERING_PROV_LOGIN_LOC string, PAT_LOC_AT_ORDER string"
 )
-HIV_ENCOUNTERS = _schema(
+HIV_ENCOUNTERS = table_schema(
     "PAT_ID bigint, CONTACT_DATE timestamp_ntz, APPT_STATUS_NM string,"
     " HOSP_DISCH_TIME timestamp_ntz, ENC_TYPE_NM string, DEPARTMENT_NAME string"
 )
-SUBSTANCE_ENCOUNTERS = _schema(
+SUBSTANCE_ENCOUNTERS = table_schema(
     "PAT_ID bigint, PAT_ENC_CSN_ID bigint, CONTACT_DATE timestamp_ntz,"
     " EMER_ADM_DATE timestamp_ntz, INP_ADM_DATE timestamp_ntz, OP_ADM_DATE timestamp_ntz,"
     " APPT_STATUS_NM string, HOSP_ADMSN_TIME timestamp_ntz, ENC_TYPE_NM string,"
     " DEPARTMENT_NAME string"
 )
-DIAGNOSES = _schema(
+DIAGNOSES = table_schema(
     "PAT_ID bigint, CONTACT_DATE timestamp_ntz, CURRENT_ICD10_LIST string, DX_NAME string"
 )
-PATIENT_IDS = _schema("PAT_ID bigint")
-SUBSTANCE_PATIENTS = _schema(
+PATIENT_IDS = table_schema("PAT_ID bigint")
+SUBSTANCE_PATIENTS = table_schema(
     "PAT_ID bigint, BIRTH_DATE date, PAT_SEX string, PATIENT_RACE string, ETHNIC_GROUP_NM string"
 )
-HIV_PATIENTS = StructType(SUBSTANCE_PATIENTS.fields + _schema("PAT_MRN_ID string").fields)
+HIV_PATIENTS = StructType(SUBSTANCE_PATIENTS.fields + table_schema("PAT_MRN_ID string").fields)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 _WIDENED = {
     "bigint": {"tinyint", "smallint", "int"},
     "int": {"tinyint", "smallint"},
-    "timestamp_ntz": {"timestamp", "date"},
+    "timestamp_ntz": {"date"},
 }
 
 
@@ -22,7 +22,11 @@ class SchemaMismatch(ValueError):
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """The schema's columns, in its order and types; :class:`SchemaMismatch` if that cannot be."""
+    """The schema's columns, in its order and types; :class:`SchemaMismatch` if that cannot be.
+
+    An instant (``timestamp``) is refused where a local time is wanted: which day it falls on would
+    depend on the session's time zone.  Convert it in the zone it was recorded in first.
+    """
     stored = {f.name.upper(): f for f in df.schema.fields}
     faults, columns = [], []
     for field in schema.fields:
@@ -49,11 +53,21 @@ def read_source(
 ) -> DataFrame:
     """A source table with exactly the schema's columns.
 
-    Formats that store a schema are checked against it; text formats are read with it.
+    Formats that store a schema are checked against it.  CSV files need a header (on unless the
+    option says otherwise, which is refused) that names the schema's columns in its order.  In CSV
+    and JSON a value that does not fit its column ends the query; Spark looks only at columns the
+    query uses, and a field that a JSON line lacks is NULL.
     """
+    if "mode" in options:
+        raise ValueError("rows that do not fit are never passed over: mode cannot be set")
+    if fmt == "csv":
+        options = {"header": True} | options
+        if str(options["header"]).lower() != "true":
+            raise ValueError("without a header the columns of a CSV file cannot be checked")
+        options["enforceSchema"] = False
     reader = spark.read.format(fmt).options(**options)
     if fmt in ("csv", "json"):
-        return reader.schema(schema).load(path)
+        return reader.schema(schema).option("mode", "FAILFAST").load(path)
     return conform(reader.load(path), schema)
 
 
@@ -68,16 +82,31 @@ def write_table(
     df.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Compute an intermediate table once and hand back a scan of it.
+def materialise(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
+    """Compute an intermediate table once, into the caller's folder, and hand back a scan of it.
 
-    It is written under the shared folder set as ``spark.checkpoint.dir``, so a lost executor
-    costs no recomputation and several registries or reports can read the same results.
+    A lost executor then costs no recomputation, and several registries or reports can read the same
+    results.  Every executor must reach the folder: outside local mode a ``file:`` path is refused
+    unless it lies in the shared folder set as ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    check_reach(
+        system.makeQualified(place).toUri().getPath(),
+        system.getUri().getScheme(),
+        spark.sparkContext.master,
+        spark.conf.get("spark.checkpoint.dir", None),
+    )
+    df.write.mode(mode).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def check_reach(path: str, scheme: str, master: str, shared: str | None) -> None:
+    """ValueError for a folder that other machines cannot be expected to see."""
+    local = master.startswith("local") and not master.startswith("local-cluster")
+    if scheme != "file" or local:
+        return
+    root = re.sub("^(file:)?/+", "/", shared or "").rstrip("/")
+    if not root or not f"{path}/".startswith(f"{root}/"):
+        raise ValueError(f"{path} is on one machine only; choose a folder all executors share")

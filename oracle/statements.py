@@ -20,22 +20,26 @@ def _with(*parts: str, then: str) -> str:
 
 # --- laboratory results --------------------------------------------------------------------
 
+# Fixed values.
 _HCV_TYPES = """hcv_types(COMPONENT_ID, TEST_TYPE) AS (VALUES
   (1526626, 'AB'), (1230000019, 'AB'),
   (784, 'RNA'), (1811181, 'RNA'), (4338, 'RNA'), (30400316, 'RNA'), (1230001110, 'RNA'),
   (1230001112, 'RNA'), (1230001113, 'RNA'), (2236, 'RNA'), (2337, 'RNA'),
   (2618, 'Genotype'), (3061, 'Genotype'), (1230001115, 'Genotype'), (1811182, 'Genotype'))"""
 
-_HIV_TYPES = """hiv_types(COMPONENT_ID, TEST_TYPE) AS (
-  SELECT unnest([273, 275, 587, 1348, 1496, 2412, 1740042, 30409193, 1230001172, 1234444644]),
-    'AB'
-  UNION ALL SELECT unnest([1257, 2005, 2221, 2222, 1612903, 1740031, 1230001157, 1230001159,
-    1234444746, 1234444747]), 'Differentiation'
-  UNION ALL SELECT unnest([268, 1558004]), 'Confirmatory'
-  UNION ALL SELECT unnest([1497, 1662, 2268, 2269, 1510740, 1561915, 1230001158, 1230001163,
-    1230002269, 1234101169, 1234444899]), 'RNA'
-  UNION ALL SELECT unnest([1558135, 1230000596]), 'CD4 Absolute'
-  UNION ALL SELECT unnest([1558134, 1230000594]), 'CD4 Percentage')"""
+_HIV_TYPES = """hiv_types(COMPONENT_ID, TEST_TYPE) AS (VALUES
+  (273, 'AB'), (275, 'AB'), (587, 'AB'), (1348, 'AB'), (1496, 'AB'), (2412, 'AB'),
+  (1740042, 'AB'), (30409193, 'AB'), (1230001172, 'AB'), (1234444644, 'AB'),
+  (1257, 'Differentiation'), (2005, 'Differentiation'), (2221, 'Differentiation'),
+  (2222, 'Differentiation'), (1612903, 'Differentiation'), (1740031, 'Differentiation'),
+  (1230001157, 'Differentiation'), (1230001159, 'Differentiation'),
+  (1234444746, 'Differentiation'), (1234444747, 'Differentiation'),
+  (268, 'Confirmatory'), (1558004, 'Confirmatory'),
+  (1497, 'RNA'), (1662, 'RNA'), (2268, 'RNA'), (2269, 'RNA'), (1510740, 'RNA'),
+  (1561915, 'RNA'), (1230001158, 'RNA'), (1230001163, 'RNA'), (1230002269, 'RNA'),
+  (1234101169, 'RNA'), (1234444899, 'RNA'),
+  (1558135, 'CD4 Absolute'), (1230000596, 'CD4 Absolute'),
+  (1558134, 'CD4 Percentage'), (1230000594, 'CD4 Percentage'))"""
 
 _USABLE = """rtrim(ORDER_STATUS_NM) = 'Completed'
     AND NOT regexp_matches({value}, 'INVALID|INDETER|TNP|EQ')"""
@@ -44,7 +48,7 @@ _HCV_RESULTS = rf"""hcv_results AS (
   SELECT PAT_ID, ORDER_PROC_ID, ORDER_INST, SPECIMN_TAKEN_TIME, RESULT_TIME, COMPONENT_ID,
     upper(raw) AS ORD_VALUE, upper(note) AS COMPONENT_COMMENT, TEST_TYPE,
     CASE WHEN TEST_TYPE = 'RNA' AND regexp_matches(stripped, {_NUMBER})
-      THEN try_cast(stripped AS DOUBLE) END AS RNA_VALUE,
+      AND isfinite(try_cast(stripped AS DOUBLE)) THEN try_cast(stripped AS DOUBLE) END AS RNA_VALUE,
     CASE
       WHEN regexp_matches(upper(raw), '<[0-9].*DETECTED', 's') THEN 'Positive'
       WHEN TEST_TYPE = 'Genotype' AND regexp_matches(raw, '[1-6]') THEN 'Positive'
@@ -89,6 +93,7 @@ _RESULT_COLUMNS = """PAT_ID, ORDER_PROC_ID, ORDER_INST, SPECIMN_TAKEN_TIME, RESU
 # --- hepatitis registry --------------------------------------------------------------------
 
 _START = "CASE WHEN START_DATE < ORDERING_DATE THEN START_DATE ELSE ORDERING_DATE END"
+# Fixed values.
 _DRUGS = (
     "BOCEPREVIR|DACLATASVIR|DASABUVIR|ELBASVIR|GLECAPREVIR|GRAZOPREVIR|INTERFERON ALFA"
     "|LEDIPASVIR|OMBITASVIR|PARITAPREVIR|PEGINTERFERON|PIBRENTASVIR|SIMEPREVIR|SOFOSBUVIR"
@@ -128,7 +133,8 @@ _POSITIVE_COMMENTS = """positive_comments AS (
     string_agg(RESULTS_CMT, ' ' ORDER BY LINE_COMMENT ASC NULLS FIRST, RESULTS_CMT) AS COMMENT
   FROM comment_lines c JOIN hiv_results r ON r.ORDER_PROC_ID = c.ORDER_PROC_ID
   WHERE r.COMPONENT_ID IN (2221, 2222)
-    AND regexp_matches(upper(RESULTS_CMT), 'HIV-[12] POSITIVE')
+    AND (contains(upper(RESULTS_CMT), 'HIV-1 POSITIVE')
+      OR contains(upper(RESULTS_CMT), 'HIV-2 POSITIVE'))
   GROUP BY c.PAT_ID, c.ORDER_PROC_ID)"""
 
 _ARV = """arv AS (
@@ -229,8 +235,9 @@ _NALOXONE = """naloxone AS (
 
 _BUPRENORPHINE = """buprenorphine AS (
   SELECT PAT_ID, max(ORDERING_DATE) AS BUP_ORDER_DATE FROM meds
-  WHERE regexp_full_match(ATC_CODE, 'N07BC(01|51) *') GROUP BY ALL)"""
+  WHERE rtrim(ATC_CODE) IN ('N07BC01', 'N07BC51') GROUP BY ALL)"""
 
+# Fixed values.
 _OPIOIDS = "Opiate|Opioid|Methadone|Heroin|Fentanyl"
 _DX = (
     ("ALCOHOL", "contains(CURRENT_ICD10_LIST, 'F10')"),
@@ -435,6 +442,18 @@ def statements(with_views: bool = True) -> dict[str, str]:
           FROM patients LEFT JOIN lab_evidence USING (PAT_ID)""",
     )
     add("registry_hcv", *_HCV_ALL, then="SELECT * FROM hcv_registry")
+    found["registry_hcv_from_results"] = found["registry_hcv"]
+    add(
+        "registry_hcv_no_medications",
+        PATIENTS,
+        *_HCV,
+        _LAB_EVIDENCE,
+        then="""SELECT PAT_ID, FIRST_REACTIVE_DATE, FIRST_DETECTED_DATE, FIRST_GENOTYPE_DATE,
+          NULL::TIMESTAMP AS FIRST_TRT_ORDER_DATE, NULL::TIMESTAMP AS FIRST_TRT_ACTIVE_DATE,
+          (coalesce(FIRST_REACTIVE_DATE, FIRST_DETECTED_DATE, FIRST_GENOTYPE_DATE) IS NOT NULL)
+            ::INTEGER AS HCV_REGISTRY_ELIGIBLE
+          FROM patients LEFT JOIN lab_evidence USING (PAT_ID)""",
+    )
     add(
         "registry_hcv_summary",
         *_HCV_ALL,
@@ -456,6 +475,7 @@ def statements(with_views: bool = True) -> dict[str, str]:
         _SEEN,
         then=_HIV_REGISTRY,
     )
+    found["registry_hiv_from_results"] = found["registry_hiv"]
     add(
         "registry_sud",
         PATIENTS,

@@ -292,3 +292,39 @@ def by_hand(spark):
         "TEST_RESULT = 'Positive' AND RESULT_TIME IS NOT NULL"
     )
     return dated.select("PAT_ID").distinct().count()
+
+
+@pytest.mark.parametrize("without", [(), ("medications",), ("active_medications",), ("medications", "active_medications")])
+def test_hepatitis_columns_do_not_depend_on_sources(spark, without):
+    sources = {
+        "labs": labs(spark, [lab("REACTIVE")]),
+        "medications": make(spark, schemas.HEPATITIS_MEDICATIONS, []),
+        "active_medications": make(spark, schemas.ACTIVE_MEDICATIONS, []),
+    }
+    people = make(spark, schemas.PATIENT_IDS, [{"PAT_ID": 1}])
+    full = hepatitis.hepatitis_registry(people, **sources)
+    some = hepatitis.hepatitis_registry(people, **{k: v for k, v in sources.items() if k not in without})
+    assert some.dtypes == full.dtypes and len(some.columns) == 7
+    assert some.collect() == full.collect()
+
+
+@pytest.mark.parametrize("without", ["comment_lines", "medications", "encounters"])
+def test_hiv_columns_do_not_depend_on_sources(spark, without):
+    sources = {
+        "labs": labs(spark, [lab("REACTIVE", component=273)]),
+        "comment_lines": make(spark, schemas.COMMENT_LINES, []),
+        "medications": make(spark, schemas.HIV_MEDICATIONS, []),
+        "encounters": make(spark, schemas.HIV_ENCOUNTERS, []),
+    }
+    people = make(spark, schemas.HIV_PATIENTS, [{"PAT_ID": 1}, {"PAT_ID": 2}])
+    full = hiv.hiv_registry(people, **sources)
+    some = hiv.hiv_registry(people, **{k: v for k, v in sources.items() if k != without})
+    assert some.dtypes == full.dtypes and len(some.columns) == 23
+    assert by(some, *some.columns) == by(full, *full.columns)
+
+
+def test_labs_or_results_are_needed(spark):
+    people = make(spark, schemas.HIV_PATIENTS, [])
+    for registry in (hepatitis.hepatitis_registry, hiv.hiv_registry):
+        with pytest.raises(ValueError, match="labs or results"):
+            registry(people)
