@@ -316,6 +316,23 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("doc_id"), F.col("v").alias("component"))
 
 
+def among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows that may have a wanted doc_id, so that few texts are shuffled to find out.
+
+    A bit for each hash of a wanted doc_id, in 65,536 numbers of 64 bits: that and no more is
+    broadcast, however many are wanted. Where all bits are set every row passes.
+    """
+    spot = "xxhash64(doc_id)"
+    bits = wanted.groupBy(F.expr(f"{spot} & 65535").alias("spot")).agg(
+        F.expr(f"bit_or(shiftleft(1L, cast(shiftright({spot}, 16) & 63 as int)))").alias("bits")
+    )
+    return (
+        rows.join(F.broadcast(bits), F.expr(f"{spot} & 65535") == F.col("spot"))
+        .filter(f"getbit(bits, cast(shiftright({spot}, 16) & 63 as int)) = 1")
+        .select(*rows.columns)
+    )
+
+
 def compared(met: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share a key, are in different components and whose sketches allow a link.
 
@@ -461,7 +478,7 @@ def near_duplicates(
         .distinct()
     )
     wanted = met.select("doc_id").distinct()
-    sets = durable(sets_of(named.join(wanted, "doc_id", "left_semi"), words))
+    sets = durable(sets_of(among(named, wanted).join(wanted, "doc_id", "left_semi"), words))
     links = durable(verified(candidates, sets, percent).unionByName(equal))
     joined = components(links)
     across = durable(compared(met, joined, sets, percent).join(candidates, ["a", "b"], "left_anti"))
