@@ -22,7 +22,11 @@ GAP = 32
 ACCEPTED = 0.995
 TEMPERATURES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
 UNKNOWN = "und"
-MIX = np.uint64(0x9E3779B97F4A7C15)
+#: The primes of XXH64.
+XXH64 = (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+    0x27D4EB2F165667C5,
+)
 
 
 def folding() -> np.ndarray:
@@ -103,11 +107,21 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     )
 
 
-def slot(keys: np.ndarray, order: int) -> np.ndarray:
-    """Where a gram of the order has its numbers."""
-    mixed = (keys.astype(np.uint64) + np.uint64(order)) * MIX
-    mixed ^= mixed >> np.uint64(29)
-    return ((mixed * MIX) >> np.uint64(64 - BITS)).astype(np.int64)
+def slot(keys: np.ndarray) -> np.ndarray:
+    """Where a gram has its numbers: the top bits of Spark's xxhash64 of the packed gram.
+
+    XXH64 of eight bytes with Spark's seed 42; the constants are the algorithm's.
+    """
+    p1, p2, p3, p4, p5 = map(np.uint64, XXH64)
+
+    def turned(x: np.ndarray, n: int) -> np.ndarray:
+        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+    x = np.uint64(42 + 8) + p5 ^ turned(keys.astype(np.uint64) * p2, 31) * p1
+    x = turned(x, 27) * p1 + p4
+    x = (x ^ (x >> np.uint64(33))) * p2
+    x = (x ^ (x >> np.uint64(29))) * p3
+    return ((x ^ (x >> np.uint64(32))) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def kneser_ney(counts: DataFrame) -> DataFrame:
@@ -149,20 +163,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     for part in parts[1:]:
         every = every.unionByName(part)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            orders = batch.column(1).to_numpy(zero_copy_only=False)
-            slots = np.zeros(len(keys), np.int64)
-            for order in np.unique(orders):
-                slots[orders == order] = slot(keys[orders == order], int(order))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(slots), batch.column(4)],
-                ["part", "grams", "lang", "slot", "value"],
-            )
-
     return (
-        every.mapInArrow(place, "part string, grams int, lang string, slot long, value double")
+        every.withColumn("slot", F.shiftrightunsigned(F.xxhash64("key"), 64 - BITS))
         .groupBy("part", "grams", "lang", "slot")
         .agg(F.max("value").alias("value"))
     )
@@ -188,7 +190,7 @@ class Models:
 
     def look(self, name: str, order: int, keys: np.ndarray) -> np.ndarray:
         known, numbers = self.tables[name, order]
-        slots = slot(keys, order)
+        slots = slot(keys)
         place = np.searchsorted(known, slots)
         place[place == len(known)] = 0
         found = known[place] == slots if len(known) else np.zeros(len(slots), bool)
@@ -310,19 +312,19 @@ def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
     ).first()
     loss = [x if x is not None else 0.0 for x in fits]
     temperature = TEMPERATURES[loss.index(min(loss))]
-    limits = learned.groupBy("lang").agg(
-        F.percentile_approx(own, F.lit(ACCEPTED), F.lit(1000)).alias("most")
-    )
+    # One number per language learned; the models of each are on the driver already.
+    most = learned.groupBy("lang").agg(F.percentile_approx(own, F.lit(ACCEPTED), F.lit(1000)).alias("most"))
+    limits = F.lit(None).cast("double")
+    for row in most.collect():
+        limits = F.when(F.col("lang_pred") == row["lang"], F.lit(row["most"])).otherwise(limits)
     return (
         results.withColumn("lang_pred", F.coalesce(F.col("best.lang"), F.lit(UNKNOWN)))
-        .alias("r")
-        .join(limits.alias("l"), F.col("r.lang_pred") == F.col("l.lang"), "left")
         .select(
             "doc_id",
             "held_out",
             "lang_pred",
             F.coalesce(chance(F.col("best.bits"), F.lit(temperature)), F.lit(0.0)).alias("score"),
             F.col("best.bits").alias("bits"),
-            F.coalesce(F.col("best.bits") <= F.col("most"), F.lit(False)).alias("accepted"),
+            F.coalesce(F.col("best.bits") <= limits, F.lit(False)).alias("accepted"),
         )
     )

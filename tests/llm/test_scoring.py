@@ -194,6 +194,13 @@ def test_probabilities_add_up(spark, monkeypatch):
         assert p.sum(axis=0) == pytest.approx([1, 1], abs=1e-6)
 
 
+def test_slots_are_those_of_spark(spark):
+    keys = [0, 1, -1, 32 << 48, 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    want = [r[0] for r in df.select(F.shiftrightunsigned(F.xxhash64("k"), 64 - langid.BITS)).collect()]
+    assert langid.slot(np.array(keys, np.int64).view(np.uint64)).tolist() == want
+
+
 def test_gram_counts(spark):
     labelled = spark.createDataFrame([("x", "Ab,  c"), ("x", "ab"), ("y", ""), ("y", "7!")], "lang string, text string")
     langid.ship(spark)
