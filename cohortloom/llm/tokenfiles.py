@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import uuid
@@ -30,14 +31,17 @@ SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>
 class ChunkEncoder:
     """Encodes with the tokenizers library, each chunk between white space once.
 
-    For vocabularies whose words never hold white space, so that chunks do not touch each other.
+    For vocabularies that compose (NFC) and lower-case texts and whose words never hold white space,
+    so that chunks do not touch each other.
     """
 
     def __init__(self, content: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(content)
+        self.normalizer = Tokenizer.from_str(content).normalizer
+        # Chunks are normalised before they are looked up, so not again when they are encoded.
+        self.tokenizer = Tokenizer.from_str(json.dumps(json.loads(content) | {"normalizer": None}))
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -55,11 +59,11 @@ class ChunkEncoder:
         self.size = np.zeros(0, np.int64)
 
     def chunks(self, text: str) -> list[str]:
-        if self.unusual.search(text):
-            return [c for c in self.spaces.split(text) if c]
-        if text.isascii() or unicodedata.is_normalized("NFC", text):
+        if not self.unusual.search(text) and (
+            text.isascii() or unicodedata.is_normalized("NFC", text)
+        ):
             return text.lower().split()
-        return text.split()
+        return [c for c in self.spaces.split(self.normalizer.normalize_str(text)) if c]
 
     def split(self, text: str) -> list[str]:
         if not any(s in text for s in self.special):
