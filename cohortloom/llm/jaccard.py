@@ -139,7 +139,8 @@ def _keys(shingles: np.ndarray, sizes: np.ndarray, group: np.ndarray, bands: Ban
     key = mixed(parity + mixed(block[at] + (group[owner].astype(_U) << _U(32)), 6), 7)
     filled = np.bincount(owner, minlength=len(sizes))
     # Blocks that must agree: all but the most that a partner of this size differs in.
-    agree = bands.blocks[group] - np.minimum(sizes * (100 - bands.percent) // bands.percent, bands.most[group])
+    most = np.minimum(sizes * (100 - bands.percent) // bands.percent, bands.most[group])
+    agree = bands.blocks[group] - most
     unsafe = bands.blocks[group] - filled >= agree
     return owner, key, unsafe
 
@@ -295,7 +296,8 @@ def components(links: DataFrame) -> DataFrame:
     Large stars and small stars in turn: every node passes its smallest neighbour on, until the
     links are stars around the smallest ids. Each round is written to the shared folder.
     """
-    links = durable(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
+    falling = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    links = durable(falling.filter("u > v").distinct())
 
     def state(df: DataFrame):
         return df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

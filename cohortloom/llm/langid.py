@@ -149,7 +149,10 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
                 ((F.col("n") - F.col("discount")) / F.col("total")).alias("value"),
             ),
             sums.select(
-                F.lit("left").alias("part"), F.lit(order).alias("grams"), "lang", F.col("context").alias("key"),
+                F.lit("left").alias("part"),
+                F.lit(order).alias("grams"),
+                "lang",
+                F.col("context").alias("key"),
                 (F.col("discount") * F.col("kinds") / F.col("total")).alias("value"),
             ),
         ]

@@ -53,7 +53,9 @@ def repeated_lines(
         )
     )
     found = durable(found)
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", F.col("covered")[0].alias("at"))
+    place = F.struct(
+        F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", F.col("covered")[0].alias("at")
+    )
     often = (
         found.groupBy("h1", "h2")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))

@@ -20,7 +20,10 @@ LONG = 200
 # Classes of characters: letters that contractions end with stand apart.
 LETTER, STMD, R, V, L, E, NUMBER, OTHER, QUOTE, BLANK, SPACE, END = range(12)
 # States of the word cutter, after a character.
-FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, ONE_BLANK, ONE_SPACE, MORE_BLANK, MORE_SPACE, AFTER_QUOTE, QUOTE_R, QUOTE_V, QUOTE_L = range(12)
+(
+    FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, ONE_BLANK, ONE_SPACE, MORE_BLANK, MORE_SPACE,
+    AFTER_QUOTE, QUOTE_R, QUOTE_V, QUOTE_L,
+) = range(12)
 NOW, LATE = 1, 2
 
 
@@ -132,14 +135,15 @@ class TokenCounter:
         spelled = [
             pairs.bytes[a : a + n].tobytes() for a, n in zip(pairs.start, pairs.size, strict=True)
         ]
-        used = {*(pairs.keys >> 32).tolist(), *(pairs.keys & 0xFFFFFFFF).tolist(), *pairs.joined.tolist(), *pairs.first.tolist()}
-        ids = sorted(used)
+        left, right = pairs.keys >> 32, pairs.keys & 0xFFFFFFFF
+        ids = np.unique(np.concatenate([left, right, pairs.joined, pairs.first])).tolist()
         # A token counts where it is what its own bytes are encoded as.
         whole = pairs.merge([spelled[i] for i in ids])[1] == 1
         self.rank = dict(zip(pairs.keys.tolist(), pairs.ranks.tolist(), strict=True))
         self.parents: dict[int, tuple[int, int, int]] = {}
-        for key, rank, joined in sorted(zip(pairs.keys.tolist(), pairs.ranks.tolist(), pairs.joined.tolist(), strict=True), key=lambda x: -x[1]):
-            self.parents[joined] = (key >> 32, key & 0xFFFFFFFF, rank)
+        merges = zip(left.tolist(), right.tolist(), pairs.ranks.tolist(), pairs.joined.tolist())
+        for a, b, rank, joined in sorted(merges, key=lambda x: -x[2]):
+            self.parents[joined] = (a, b, rank)
         self.tree: list[dict[int, int]] = [{}]
         self.token: list[int] = [-1]
         for i, good in zip(ids, whole.tolist(), strict=True):
