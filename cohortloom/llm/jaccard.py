@@ -318,20 +318,20 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("doc_id"), F.col("v").alias("component"))
 
 
-def among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows that may have a wanted doc_id, so that few texts are shuffled to find out.
+SPOT, BIT = "xxhash64(doc_id) & 65535", "cast(shiftright(xxhash64(doc_id), 16) & 63 as int)"
+
+
+def possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Adds whether a row may have a wanted doc_id, so that few texts are shuffled to find out.
 
     A bit for each hash of a wanted doc_id, in 65,536 numbers of 64 bits: that and no more is
-    broadcast, however many are wanted. Where all bits are set every row passes.
+    broadcast, however many are wanted. Where all bits are set every row is possible.
     """
-    spot = "xxhash64(doc_id)"
-    bits = wanted.groupBy(F.expr(f"{spot} & 65535").alias("spot")).agg(
-        F.expr(f"bit_or(shiftleft(1L, cast(shiftright({spot}, 16) & 63 as int)))").alias("bits")
+    bits = wanted.groupBy(F.expr(SPOT).alias("spot")).agg(
+        F.expr(f"bit_or(shiftleft(1L, {BIT}))").alias("bits")
     )
-    return (
-        rows.join(F.broadcast(bits), F.expr(f"{spot} & 65535") == F.col("spot"))
-        .filter(f"getbit(bits, cast(shiftright({spot}, 16) & 63 as int)) = 1")
-        .select(*rows.columns)
+    return rows.join(F.broadcast(bits), F.expr(SPOT) == F.col("spot"), "left").select(
+        *rows.columns, F.expr(f"coalesce(getbit(bits, {BIT}), 0) = 1").alias("possible")
     )
 
 
@@ -480,7 +480,8 @@ def near_duplicates(
         .distinct()
     )
     wanted = met.select("doc_id").distinct()
-    sets = durable(sets_of(among(named, wanted).join(wanted, "doc_id", "left_semi"), words))
+    near = possible(named, wanted).filter("possible").drop("possible")
+    sets = durable(sets_of(near.join(wanted, "doc_id", "left_semi"), words))
     links = durable(verified(candidates, sets, percent).unionByName(equal))
     joined = components(links)
     across = durable(compared(met, joined, sets, percent).join(candidates, ["a", "b"], "left_anti"))
@@ -494,14 +495,17 @@ def near_duplicates(
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents of which none linked has a smaller doc_id, with their own columns."""
-    away = (
+    away = durable(
         near_duplicates(docs, doc_id, text, **options)
         .filter("component_id < doc_id")
-        .select(F.col("doc_id").alias("away"))
+        .select("doc_id")
         .distinct()
     )
+    rows = docs.select(F.struct("*").alias("document"), F.col(doc_id).cast("long").alias("doc_id"))
+    marked = possible(rows, away)
     return (
-        docs.select(F.struct("*").alias("document"), F.col(doc_id).cast("long").alias("key"))
-        .join(away, F.col("key") == F.col("away"), "left_anti")
+        marked.filter("NOT possible")
+        .drop("possible")
+        .unionByName(marked.filter("possible").drop("possible").join(away, "doc_id", "left_anti"))
         .select("document.*")
     )
