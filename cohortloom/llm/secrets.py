@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fingerprint, whole_text
+from .common import durable, whole_text
 
 #: Kind, pattern, least length. A match that is too short still uses up its text.
 ASSIGN = r"""(?i:(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)[A-Za-z0-9+/_.=-]+"""
@@ -18,9 +18,11 @@ LEAST_ASSIGNED = 6
 #: What the models may judge: long runs that hold a letter and either a digit or mixed letters.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: What ordinary words look like, and of about how many documents they are taken.
+#: What ordinary words look like.
 PLAIN = r"[A-Za-z][a-z]{7,}"
-SAMPLE_DOCUMENTS = 4_000
+#: The part of each letter's pairs that is spread evenly over the alphabet, whatever their number.
+#: Random strings of one kind, such as hexadecimal ones, must not make other kinds unlikely.
+EVEN = {"random": 0.5, "ordinary": 0.02}
 #: Log-likelihood ratio per character from which a string counts as random.
 THRESHOLD = 0.5
 
@@ -60,8 +62,7 @@ def spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
 
 
 def found(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its base spans, its candidates, and words of the sampled documents."""
-    share = max(1, round((1 << 30) * min(1.0, SAMPLE_DOCUMENTS / max(1, docs.count()))))
+    """One row per document: its base spans and its candidates."""
     body = F.col("body")
     assigned = F.filter(
         spans(body, ASSIGN, "assign", 0),
@@ -79,30 +80,34 @@ def found(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
             spans(body, ACCESS, "access", 1).alias("access"),
             spans(body, HEX, "hex", 2).alias("hex"),
             mixed.alias("mixed"),
-            F.when(
-                F.pmod(fingerprint(F.col("doc_id"), body, salt=3), F.lit(1 << 30)) < share,
-                F.regexp_extract_all(body, F.lit(PLAIN), F.lit(0)),
-            ).alias("plain"),
         )
     )
 
 
-def ratios(rows: DataFrame) -> list[float]:
+def ordinary(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(v): the ordinary words of all rows."""
+    return docs.select(
+        F.explode(F.regexp_extract_all(whole_text(text), F.lit(PLAIN), F.lit(0))).alias("v")
+    )
+
+
+def ratios(rows: DataFrame, words: DataFrame) -> list[float]:
     """Log of P(next | this, random) / P(next | this, ordinary) for all pairs of the alphabet.
 
-    Random strings are what the base patterns matched; ordinary ones are words of the sampled
-    documents. Only pair counts come to the driver, at most two for each pair of the alphabet.
+    Random strings are what the base patterns matched in `rows`; ordinary ones are `words`. All are
+    counted. Only pair counts come to the driver, at most two for each pair of the alphabet.
     """
     secret = F.transform(
         F.concat("assign", "access", "hex"),
         lambda s: F.regexp_replace(F.regexp_replace(s["value"], ASSIGN_HEAD, ""), "^AKIA", ""),
     )
 
-    def pairs(strings: Column, label: str) -> DataFrame:
-        each = F.explode(F.coalesce(strings, F.array().cast("array<string>")))
+    def pairs(strings: DataFrame, label: str) -> DataFrame:
+        """Equal strings are counted first, so that each is cut into pairs once."""
         return (
-            rows.select(each.alias("v"))
-            .filter(F.length("v") > 1)
+            strings.filter(F.length("v") > 1)
+            .groupBy("v")
+            .count()
             .select(
                 F.explode(
                     F.transform(
@@ -111,24 +116,29 @@ def ratios(rows: DataFrame) -> list[float]:
                     )
                 ).alias("pair"),
                 F.lit(label).alias("label"),
+                "count",
             )
         )
 
     counts = {
-        (r["label"], r["pair"]): r["count"]
-        for r in pairs(secret, "random")
-        .unionByName(pairs(F.col("plain"), "ordinary"))
+        (r["label"], r["pair"]): r["n"]
+        for r in pairs(rows.select(F.explode(secret).alias("v")), "random")
+        .unionByName(pairs(words, "ordinary"))
         .filter(F.col("pair").rlike(r"^[A-Za-z0-9+/_=-]{2}$"))
         .groupBy("label", "pair")
-        .count()
+        .agg(F.sum("count").alias("n"))
         .collect()
     }
 
     def logs(label: str) -> list[float]:
+        even, n = EVEN[label], len(ALPHABET)
         out = []
         for a in ALPHABET:
-            row = [counts.get((label, a + b), 0) + 1.0 for b in ALPHABET]
-            out += [math.log(x / sum(row)) for x in row]
+            row = [counts.get((label, a + b), 0) for b in ALPHABET]
+            total = sum(row)
+            out += [
+                math.log((1 - even) * x / total + even / n if total else 1 / n) for x in row
+            ]
         return out
 
     return [a - b for a, b in zip(logs("random"), logs("ordinary"), strict=True)]
@@ -162,7 +172,7 @@ def secret_spans(
     model is even over the alphabet.
     """
     rows = found(docs, doc_id, text)
-    table = ratios(rows)
+    table = ratios(rows, ordinary(docs, text))
 
     def apart(s: Column) -> Column:
         return ~F.exists(
@@ -173,4 +183,4 @@ def secret_spans(
     return rows.withColumn(
         "random",
         F.filter("mixed", lambda s: apart(s) & (randomness(s["value"], table) >= threshold)),
-    ).drop("mixed", "plain")
+    ).drop("mixed")

@@ -159,6 +159,26 @@ def test_random_strings_stand_out(spark):
     assert sum(n for i, n in got.items() if not 300 <= i < 320) <= 1
 
 
+def ratios_of(docs, monkeypatch):
+    """The table of ratios that a scan of the documents uses."""
+    seen = []
+    own = secrets.randomness
+    with monkeypatch.context() as m:
+        m.setattr(secrets, "randomness", lambda v, table, *rest: seen.append(table) or own(v, table, *rest))
+        secrets.secret_spans(docs)
+    return seen[0]
+
+
+def test_ratios_count_all_rows_and_do_not_drift(spark, monkeypatch):
+    rows = [(i, "ordinary wordings everywhere", "en", "a") for i in range(9_000)]
+    rows += [(9_000, "password=Xy7kQ2mmZ1", "en", "a")]
+    rare = [(10_000 + i, "quizzically jazzquiz", "en", "a") for i in range(10)]
+    few = ratios_of(table(spark, rows + rare), monkeypatch)
+    assert ratios_of(table(spark, (rows + rare) * 3), monkeypatch) == pytest.approx(few)
+    zz = secrets.ALPHABET.index("z") * len(secrets.ALPHABET) + secrets.ALPHABET.index("z")
+    assert few[zz] < -2  # only ten documents have it, and every one counts
+
+
 def test_secret_query(spark):
     got = queries.queries()["op3_secret_scans"](spark, SMALL).collect()
     text = {r[0]: r[1] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
