@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +19,19 @@ LEAST_ASSIGNED = 6
 #: What the models may judge: long runs that hold a letter and either a digit or mixed letters.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: What ordinary words look like.
-PLAIN = r"[A-Za-z][a-z]{7,}"
-#: The part of each letter's pairs that is spread evenly over the alphabet, whatever their number.
-#: Random strings of one kind, such as hexadecimal ones, must not make other kinds unlikely.
-EVEN = {"random": 0.5, "ordinary": 0.02}
+#: What ordinary words, identifiers, paths and slugs are looked for in, and where parts of them meet
+#: without a separator. Strings with more such borders than one and than every fifth character are
+#: not built of words, nor are those with longer words than any dictionary has many of.
+RUN = r"[A-Za-z0-9+/_=-]{2,}"
+BORDER = r"(?<=[a-z])(?=[A-Z])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"
+APART = 5
+LONG_WORD = "[a-z]{18}|[A-Z]{18}"
+#: The part of each letter's pairs that is spread out, whatever their number. Random strings of one
+#: kind, such as hexadecimal ones, must not make other kinds unlikely: theirs is spread evenly.
+#: Ordinary ones' goes by `classes`, in which again a part is spread evenly: of the step from class
+#: to class half, of letters without regard to case little.
+EVEN = {"random": 0.5, "ordinary": 0.5}
+EVEN_STEP, EVEN_LETTER = 0.5, 0.02
 #: Log-likelihood ratio per character from which a string counts as random.
 THRESHOLD = 0.5
 
@@ -85,17 +94,60 @@ def found(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def ordinary(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(v): the ordinary words of all rows."""
-    return docs.select(
-        F.explode(F.regexp_extract_all(whole_text(text), F.lit(PLAIN), F.lit(0))).alias("v")
-    )
+    """(v): the ordinary words and identifiers of all rows, none of what base patterns match."""
+    bare = whole_text(text)
+    for pattern in (ASSIGN, ACCESS, HEX):
+        bare = F.regexp_replace(bare, pattern, " ")
+    return docs.select(F.explode(F.regexp_extract_all(bare, F.lit(RUN), F.lit(0))).alias("v"))
+
+
+def of_words(v: Column) -> Column:
+    borders = F.regexp_count(v, F.lit(BORDER))
+    return ((borders <= 1) | (borders * APART <= F.length(v))) & ~v.rlike(LONG_WORD)
+
+
+def kind_of(c: str) -> str:
+    return "lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "mark"
+
+
+def classes(counts: dict[str, int]) -> dict[str, float]:
+    """P(next | this) for all pairs of the alphabet by their classes, from counts of pairs.
+
+    The class of the next character follows from that of this one. Within a word a letter follows
+    from the letter before, in whatever case; else all of a class are alike.
+    """
+    steps: dict = Counter()
+    letters: dict = Counter()
+    inner = {("lower", "lower"), ("upper", "upper"), ("upper", "lower")}
+    for pair, n in counts.items():
+        step = tuple(map(kind_of, pair))
+        steps[step] += n
+        steps[step[0]] += n
+        if step in inner:
+            letters[pair.lower()] += n
+            letters[pair[0].lower()] += n
+    sizes = Counter(map(kind_of, ALPHABET))
+    out = {}
+    for a in ALPHABET:
+        for b in ALPHABET:
+            one, two = kind_of(a), kind_of(b)
+            p = EVEN_STEP / len(sizes) + (1 - EVEN_STEP) * (
+                steps[one, two] / steps[one] if steps[one] else 1 / len(sizes)
+            )
+            x, total = (a + b).lower(), letters[a.lower()]
+            if (one, two) in inner and total:
+                q = EVEN_LETTER / 26 + (1 - EVEN_LETTER) * letters[x] / total
+            else:
+                q = 1 / sizes[two]
+            out[a + b] = p * q
+    return out
 
 
 def ratios(rows: DataFrame, words: DataFrame) -> list[float]:
     """Log of P(next | this, random) / P(next | this, ordinary) for all pairs of the alphabet.
 
-    Random strings are what the base patterns matched in `rows`; ordinary ones are `words`. All are
-    counted. Only pair counts come to the driver, at most two for each pair of the alphabet.
+    Random strings are what the base patterns matched in `rows`; ordinary ones are those of `words`
+    that are built of words. All are counted. Only pair counts come to the driver, at most two for each pair of the alphabet.
     """
     secret = F.transform(
         F.concat("assign", "access", "hex"),
@@ -123,7 +175,7 @@ def ratios(rows: DataFrame, words: DataFrame) -> list[float]:
     counts = {
         (r["label"], r["pair"]): r["n"]
         for r in pairs(rows.select(F.explode(secret).alias("v")), "random")
-        .unionByName(pairs(words, "ordinary"))
+        .unionByName(pairs(words.filter(of_words(F.col("v"))), "ordinary"))
         .filter(F.col("pair").rlike(r"^[A-Za-z0-9+/_=-]{2}$"))
         .groupBy("label", "pair")
         .agg(F.sum("count").alias("n"))
@@ -131,14 +183,18 @@ def ratios(rows: DataFrame, words: DataFrame) -> list[float]:
     }
 
     def logs(label: str) -> list[float]:
-        even, n = EVEN[label], len(ALPHABET)
+        even = EVEN[label]
+        own = {pair: n for (x, pair), n in counts.items() if x == label}
+        spread = (
+            classes(own) if label == "ordinary"
+            else {a + b: 1 / len(ALPHABET) for a in ALPHABET for b in ALPHABET}
+        )
         out = []
         for a in ALPHABET:
-            row = [counts.get((label, a + b), 0) for b in ALPHABET]
-            total = sum(row)
-            out += [
-                math.log((1 - even) * x / total + even / n if total else 1 / n) for x in row
-            ]
+            total = sum(own.get(a + b, 0) for b in ALPHABET)
+            for b in ALPHABET:
+                p = spread[a + b]
+                out.append(math.log((1 - even) * own.get(a + b, 0) / total + even * p if total else p))
         return out
 
     return [a - b for a, b in zip(logs("random"), logs("ordinary"), strict=True)]

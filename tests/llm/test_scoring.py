@@ -179,6 +179,49 @@ def test_ratios_count_all_rows_and_do_not_drift(spark, monkeypatch):
     assert few[zz] < -2  # only ten documents have it, and every one counts
 
 
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+def draw(rng, letters, n):
+    return "".join(rng.choice(letters) for _ in range(n))
+
+
+def prose(rng):
+    """Documents of English words, and documents with keys for the random model."""
+    words = (
+        "the quick resources of downloads and configuration settings were loaded from server packages while "
+        "applications process every document again because information about customers should remain private"
+    ).split()
+    rows = [(i, " ".join(rng.choice(words) for _ in range(200))) for i in range(50)]
+    return rows + [(100 + i, f"with password={draw(rng, LOWER + UPPER + DIGITS, 28)} and") for i in range(60)]
+
+
+def test_identifiers_paths_and_slugs_are_ordinary(spark):
+    rng = random.Random(12)
+    words = (
+        "abstract bean factory impl max seq len per gpu src main java com app covid vaccine parse json item usr "
+        "local lib python site packages spring application context test case output reader value user list"
+    ).split()
+    joins = (
+        lambda w: "".join(x.title() for x in w), lambda w: "_".join(w) + f"_v{rng.randint(1, 9)}",
+        lambda w: "/" + "/".join(w) + str(rng.randint(1, 9)), lambda w: "-".join(w) + f"-20{rng.randint(10, 29)}",
+        lambda w: "_".join(w).upper(), lambda w: w[0] + "".join(x.title() for x in w[1:]),
+    )
+    def identifier():
+        return rng.choice(joins)([rng.choice(words) for _ in range(rng.randint(3, 6))])
+    rows = prose(rng) + [(1000 + i, " ".join(identifier() for _ in range(30))) for i in range(60)]
+    asked = (
+        "AbstractBeanFactoryImpl max_seq_len_per_gpu_v1 src/main/java/com/App2 covid-19-vaccine-2021 "
+        "parse_json_v2_item_id3 /usr/local/lib/python3/site-packages SpringApplicationContext "
+        "test_case_001_output MAX_VALUE_PER_USER"
+    ).split()
+    rows += [(2000 + i, f"the {x} of") for i, x in enumerate(asked)]
+    rows += [(3000 + i, f"the {draw(rng, LOWER + UPPER + DIGITS, 24)} of") for i in range(20)]
+    got = {r["doc_id"]: r["random"] for r in secrets.secret_spans(table(spark, rows)).collect()}
+    assert not [s["value"] for i in got if i < 3000 for s in got[i]]
+    assert sum(len(got[3000 + i]) > 0 for i in range(20)) >= 19
+
+
 def test_secret_query(spark):
     got = queries.queries()["op3_secret_scans"](spark, SMALL).collect()
     text = {r[0]: r[1] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()}
