@@ -16,8 +16,9 @@ ASSIGN_HEAD = r"""(?i:^(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 LEAST_ASSIGNED = 6
-#: What the models may judge: long runs that hold a letter and either a digit or mixed letters.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: What the models judge: the parts of runs of the alphabet that hold a letter, at least so long.
+LEAST_RANDOM = 12
+CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_RANDOM
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: What ordinary words, identifiers, paths and slugs are looked for in, and where parts of them meet
 #: without a separator. Strings with more such borders than one and than every fifth character are
@@ -34,15 +35,20 @@ EVEN = {"random": 0.5, "ordinary": 0.5}
 EVEN_STEP, EVEN_LETTER = 0.5, 0.02
 #: Log-likelihood ratio per character from which a string counts as random.
 THRESHOLD = 0.5
+#: The ratio that a part must reach in all, since the best of very many parts is looked at.
+EVIDENCE = 9.0
+#: A part ends where its ratio has fallen so far below its best; ends this near to those of the run
+#: are moved there.
+FALL = 10.0
+EDGE = 3
+SPANS = "array<struct<start:int,rank:int,kind:string,stop:int,value:string>>"
 
 
 def spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
     """All leftmost non-overlapping matches as structs of code points, end exclusive, with text."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    empty = F.array().cast(
-        "array<struct<start:int,rank:int,kind:string,stop:int,value:string>>"
-    )
+    empty = F.array().cast(SPANS)
     walked = F.aggregate(
         F.arrays_zip(between.alias("gap"), found.alias("value")),
         F.struct(F.lit(0).alias("at"), empty.alias("spans")),
@@ -71,28 +77,28 @@ def spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
 
 
 def found(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its base spans and its candidates."""
+    """One row per document: its base spans and its runs of the alphabet."""
     body = F.col("body")
     assigned = F.filter(
         spans(body, ASSIGN, "assign", 0),
         lambda s: F.length(F.regexp_replace(s["value"], ASSIGN_HEAD, "")) >= LEAST_ASSIGNED,
     )
-    mixed = F.filter(
-        spans(body, CANDIDATE, "random", 3),
-        lambda s: s["value"].rlike("[A-Za-z]")
-        & s["value"].rlike("[0-9]|[a-z][A-Z]|[A-Z][a-z]+[A-Z]"),
-    )
     return durable(
         docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("body")).select(
             "doc_id",
             assigned.alias("assign"),
             spans(body, ACCESS, "access", 1).alias("access"),
             spans(body, HEX, "hex", 2).alias("hex"),
-            mixed.alias("mixed"),
+            spans(body, CANDIDATE, "random", 3).alias("runs"),
         )
     )
 
 
+def neighbours(items: Column, n: Column, of) -> Column:
+    """`of` each of the first n items, two or more, and the one after it."""
+    return F.zip_with(F.slice(items, F.lit(1), n - 1), F.slice(items, F.lit(2), n - 1), of)
+
+
 def ordinary(docs: DataFrame, text: str = "text") -> DataFrame:
     """(v): the ordinary words and identifiers of all rows, none of what base patterns match."""
     bare = whole_text(text)
@@ -161,12 +167,7 @@ def ratios(rows: DataFrame, words: DataFrame) -> list[float]:
             .groupBy("v")
             .count()
             .select(
-                F.explode(
-                    F.transform(
-                        F.sequence(F.lit(1), F.length("v") - 1),
-                        lambda i: F.substring(F.col("v"), i, F.lit(2)),
-                    )
-                ).alias("pair"),
+                F.explode(neighbours(F.split("v", ""), F.length("v"), lambda a, b: F.concat(a, b))).alias("pair"),
                 F.lit(label).alias("label"),
                 "count",
             )
@@ -200,20 +201,87 @@ def ratios(rows: DataFrame, words: DataFrame) -> list[float]:
     return [a - b for a, b in zip(logs("random"), logs("ordinary"), strict=True)]
 
 
+def uncovered(run: Column, bases: Column) -> Column:
+    """The parts of a run outside all base spans, as spans."""
+    inside = F.array_sort(
+        F.filter(bases, lambda b: (b["start"] < run["stop"]) & (run["start"] < b["stop"]))
+    )
+
+    def part(start: Column, stop: Column) -> Column:
+        value = F.substring(run["value"], start - run["start"] + 1, stop - start)
+        each = F.struct(
+            start.alias("start"), run["rank"].alias("rank"), run["kind"].alias("kind"),
+            stop.alias("stop"), value.alias("value"),
+        )
+        return F.when(stop - start >= LEAST_RANDOM, F.array(each)).otherwise(F.array().cast(SPANS))
+
+    return F.aggregate(
+        inside,
+        F.struct(run["start"].alias("at"), F.array().cast(SPANS).alias("parts")),
+        lambda acc, b: F.struct(
+            F.greatest(acc["at"], b["stop"]).alias("at"),
+            F.concat(acc["parts"], part(acc["at"], b["start"])).alias("parts"),
+        ),
+        lambda acc: F.concat(acc["parts"], part(acc["at"], run["stop"])),
+    )
+
+
 def randomness(value: Column, table: list[float]) -> Column:
-    """Mean log-likelihood ratio per character of the string."""
+    """The log-likelihood ratio of each pair of neighbours."""
     n = len(ALPHABET)
     known = F.split(F.lit(",".join(f"{x:.6f}" for x in table)), ",").cast("array<double>")
+    places = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    return neighbours(places, F.length(value), lambda a, b: F.get(known, a * n + b))
 
-    def place(i: Column) -> Column:
-        return F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1))) - 1
 
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.length(value) - 1),
-        F.lit(0.0),
-        lambda acc, i: acc + F.get(known, place(i) * n + place(i + 1)),
+def random_parts(run: Column, table: list[float], threshold: float) -> Column:
+    """The spans of a run whose summed ratio is furthest above the threshold, one after the other.
+
+    A sum starts anew where it is used up or has fallen by FALL.
+    """
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    zero = F.lit(0.0)
+
+    def closed(acc: Column) -> Column:
+        size = acc["stop"] - acc["start"]
+        good = (size >= LEAST_RANDOM - 2 * EDGE) & (acc["top"] + size * threshold >= EVIDENCE)
+        own = F.struct(acc["start"].alias("start"), acc["stop"].alias("stop"))
+        return F.when(good, F.concat(acc["parts"], F.array(own))).otherwise(acc["parts"])
+
+    def step(acc: Column, x: Column) -> Column:
+        at, total = acc["at"] + 1, acc["total"] + x - threshold
+        over = (total <= 0) | (total < acc["top"] - FALL)
+        more = total > acc["top"]
+        return F.struct(
+            at.alias("at"),
+            F.when(over, zero).otherwise(total).alias("total"),
+            F.when(over, zero).when(more, total).otherwise(acc["top"]).alias("top"),
+            F.when(over, at).otherwise(acc["start"]).alias("start"),
+            F.when(over, at).when(more, at + 1).otherwise(acc["stop"]).alias("stop"),
+            F.when(over, closed(acc)).otherwise(acc["parts"]).alias("parts"),
+        )
+
+    start = F.struct(
+        F.lit(0).alias("at"), zero.alias("total"), zero.alias("top"), F.lit(0).alias("start"),
+        F.lit(0).alias("stop"), none.alias("parts"),
+    )
+    parts = F.aggregate(randomness(run["value"], table), start, step, closed)
+
+    def span(p: Column) -> Column:
+        n = F.length(run["value"])
+        first = F.when(p["start"] <= EDGE, 0).otherwise(p["start"])
+        last = F.when(p["stop"] >= n - EDGE, n).otherwise(p["stop"])
+        return F.struct(
+            (run["start"] + first).alias("start"), run["rank"].alias("rank"),
+            run["kind"].alias("kind"), (run["start"] + last).alias("stop"),
+            F.substring(run["value"], first + 1, last - first).alias("value"),
+        )
+
+    # Digits alone are as random in ordinary numbers.
+    return F.filter(
+        F.transform(parts, span),
+        lambda s: (F.length(s["value"]) >= LEAST_RANDOM) & s["value"].rlike("[A-Za-z]"),
     )
-    return total / F.length(value)
 
 
 def secret_spans(
@@ -222,21 +290,16 @@ def secret_spans(
     """(doc_id, assign, access, hex, random): arrays of spans for each row.
 
     A span has start and stop in code points, stop exclusive, its kind and its text. The first
-    three kinds are fixed patterns. `random` are candidates apart from those whose mean
-    log-likelihood ratio, random against ordinary, reaches the threshold. A missing text counts as
-    empty; rows that repeat fare alike; the empty table gives none. Without any secret the random
+    three kinds are fixed patterns. `random` are the parts of runs of the alphabet, apart from
+    those, that look most random: their log-likelihood ratio, random against ordinary, reaches the
+    threshold per character and EVIDENCE in all. A missing text counts as empty; rows that repeat fare alike; the empty table gives none. Without any secret the random
     model is even over the alphabet.
     """
     rows = found(docs, doc_id, text)
     table = ratios(rows, ordinary(docs, text))
 
-    def apart(s: Column) -> Column:
-        return ~F.exists(
-            F.concat("assign", "access", "hex"),
-            lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]),
-        )
-
-    return rows.withColumn(
-        "random",
-        F.filter("mixed", lambda s: apart(s) & (randomness(s["value"], table) >= threshold)),
-    ).drop("mixed")
+    runs = F.flatten(
+        F.transform("runs", lambda r: uncovered(r, F.concat("assign", "access", "hex")))
+    )
+    parts = F.flatten(F.transform(runs, lambda r: random_parts(r, table, threshold)))
+    return rows.withColumn("random", parts).drop("runs")

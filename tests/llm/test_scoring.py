@@ -196,6 +196,35 @@ def prose(rng):
     return rows + [(100 + i, f"with password={draw(rng, LOWER + UPPER + DIGITS, 28)} and") for i in range(60)]
 
 
+def test_random_parts_of_any_case_and_length(spark):
+    rng = random.Random(11)
+    mixed = LOWER + UPPER + DIGITS
+    path = "resources/downloads/packages/configuration/applications/"
+    planted = {}
+    for i in range(20):
+        key = draw(rng, (LOWER, UPPER)[i % 2], 24)
+        planted[300 + i] = ("words " + key + " again", key)
+        key = draw(rng, mixed, 15)
+        planted[400 + i] = ("words " + key + " again", key)
+        key = draw(rng, mixed, 20)
+        planted[500 + i] = ("from " + path + key + " again", key)
+        key = draw(rng, mixed, 24)
+        planted[600 + i] = ("words " + key + "/password=abcdefgh1 again", key)
+    docs = table(spark, prose(rng) + [(i, t) for i, (t, _) in planted.items()])
+    got = {r["doc_id"]: r["random"] for r in secrets.secret_spans(docs).collect()}
+    for block in (300, 400, 500, 600):
+        hits = 0
+        for i in range(block, block + 20):
+            text, key = planted[i]
+            at = text.index(key)
+            hits += any(s["start"] < at + len(key) - 6 and s["stop"] > at + 6 for s in got[i])
+        # Of short keys the small table says less.
+        assert hits >= (10 if block == 400 else 18), block
+    inside = [s for i in range(500, 520) for s in got[i]]
+    assert all(s["start"] > 20 for s in inside)  # not the path before the key
+    assert sum(len(got[i]) for i in got if i < 200) == 0
+
+
 def test_identifiers_paths_and_slugs_are_ordinary(spark):
     rng = random.Random(12)
     words = (
