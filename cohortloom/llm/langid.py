@@ -1,4 +1,4 @@
-"""Language identification by interpolated Kneser-Ney character models in sorted hash arrays."""
+"""Language identification by interpolated Kneser-Ney character models in sorted arrays."""
 
 from __future__ import annotations
 
@@ -15,8 +15,8 @@ from .bpe import portions
 from .common import durable, ship
 
 ORDER = 4
-#: Bits of a slot: a model holds at most 2 ** BITS numbers per order and language.
-BITS = 20
+#: Bits of a slot. With all 64 a gram has a slot of its own: XXH64 of eight bytes is one-to-one.
+BITS = 64
 GAP = 32
 #: Of the labelled rows of a language so many have a cross-entropy below its limit.
 ACCEPTED = 0.995
@@ -108,7 +108,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
 
 def slot(keys: np.ndarray) -> np.ndarray:
-    """Where a gram has its numbers: the top bits of Spark's xxhash64 of the packed gram.
+    """Where a gram has its numbers: the top BITS of Spark's xxhash64 of the packed gram.
 
     XXH64 of eight bytes with Spark's seed 42; the constants are the algorithm's.
     """
@@ -236,7 +236,7 @@ def models_of(content: bytes) -> Models:
 
 
 def fitted(labelled: DataFrame) -> bytes:
-    """The models of all languages in (lang, text), as Arrow file content of bounded size."""
+    """The models of all languages in (lang, text), as Arrow file content; it grows with the different grams."""
     ship(labelled.sparkSession)
     counts = durable(gram_counts(labelled.filter("lang IS NOT NULL AND text IS NOT NULL")))
     table = kneser_ney(counts).toArrow()

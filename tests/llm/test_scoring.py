@@ -293,6 +293,17 @@ def test_slots_are_those_of_spark(spark):
     assert langid.slot(np.array(keys, np.int64).view(np.uint64)).tolist() == want
 
 
+def test_unseen_grams_get_no_numbers_of_others(spark):
+    rng = random.Random(14)
+    texts = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(3000)) for _ in range(4)]
+    labelled = spark.createDataFrame([("x", t) for t in texts], "lang string, text string")
+    models = langid.models_of(langid.fitted(labelled))
+    seen = np.unique(langid.grams(texts)[0])
+    assert (models.look("share", 4, seen) > 0).all()
+    unseen = np.arange(200_000, dtype=np.uint64) + np.uint64(0x4E00_4E00_4E00_4E00)
+    assert (models.look("share", 4, unseen) == 0).all() and (models.look("left", 4, unseen) == 1).all()
+
+
 def test_gram_counts(spark):
     labelled = spark.createDataFrame([("x", "Ab,  c"), ("x", "ab"), ("y", ""), ("y", "7!")], "lang string, text string")
     langid.ship(spark)
