@@ -108,8 +108,11 @@ def ordinary(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def of_words(v: Column) -> Column:
-    borders = F.regexp_count(v, F.lit(BORDER))
-    return ((borders <= 1) | (borders * APART <= F.length(v))) & ~v.rlike(LONG_WORD)
+    def few(part: Column) -> Column:
+        borders = F.regexp_count(part, F.lit(BORDER))
+        return (borders <= 1) | (borders * APART <= F.length(part))
+
+    return F.forall(F.split(v, "[+/_=-]"), few) & ~v.rlike(LONG_WORD)
 
 
 def kind_of(c: str) -> str:
