@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import bpe, exact, jaccard, langid, linededup, mixing, quality, secrets, tokencount, tokenfiles
+from . import (
+    bpe, exact, jaccard, langid, linededup, merkle, mixing, quality, secrets, tokencount, tokenfiles,
+)
 from .common import documents, sorted_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +92,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.col("n_chars") + F.when(
+        F.crc32(F.col("doc_id").cast("string")) % 7 == 0, 1
+    ).otherwise(0)
+    rows = merkle.manifest(documents(spark, sf_dir), claims={"n_chars": tampered})
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof().alias("proof_sha256"),
+        merkle.folded(F.coalesce("claim", "leaf")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -102,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
