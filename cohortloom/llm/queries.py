@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import (
-    bpe, exact, jaccard, langid, linededup, merkle, mixing, quality, secrets, tokencount, tokenfiles,
+    bpe, exact, jaccard, langid, linededup, merkle, mixing, quality, secrets, spelling, tokencount,
+    tokenfiles,
 )
 from .common import documents, sorted_lines
 
@@ -92,6 +93,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(spelling.document_words(documents(spark, sf_dir)))
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.col("n_chars") + F.when(
         F.crc32(F.col("doc_id").cast("string")) % 7 == 0, 1
@@ -115,6 +121,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
+        "op12_spelling_variants": op12_spelling_variants,
         "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
