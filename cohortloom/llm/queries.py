@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import (
-    bpe, exact, jaccard, langid, linededup, merkle, mixing, quality, secrets, spelling, tokencount,
-    tokenfiles,
+    bpe, exact, jaccard, langid, linededup, merkle, mixing, quality, repeats, secrets, spelling,
+    tokencount, tokenfiles,
 )
 from .common import documents, sorted_lines
 
@@ -93,6 +93,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir), first_stays=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling.vocabulary(spelling.document_words(documents(spark, sf_dir)))
     return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
@@ -121,6 +127,7 @@ def queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_token_files": op9_token_files,
         "op10_token_counts": op10_token_counts,
+        "op11_suffix_dedup": op11_suffix_dedup,
         "op12_spelling_variants": op12_spelling_variants,
         "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
