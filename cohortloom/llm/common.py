@@ -48,7 +48,7 @@ def ship(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parents[1]
     archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
     with zipfile.ZipFile(archive, "w") as z:
-        for source in [package / "__init__.py", *sorted((package / "llm").rglob("*.py"))]:
+        for source in sorted(package.rglob("*.py")):
             z.write(source, source.relative_to(package.parent))
     context.addPyFile(str(archive))
     _shipped.add(context.applicationId)
