@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -20,9 +21,11 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
-#: Words a worker remembers, and characters it works on at once.
-CACHED_WORDS = 250_000
+#: Bytes of words that a worker remembers about, and characters it works on at once.
+CACHED = 64 << 20
 CHARACTERS = 1 << 19
+#: Words of more bytes are joined by a queue of places, and not remembered.
+LONG = 256
 NONE = np.iinfo(np.int64).max
 
 
@@ -63,23 +66,101 @@ class BytePairs:
         self.bytes = np.frombuffer(b"".join(parts), np.uint8)
 
     def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of all words in one array, and how many each word has.
+        """Token ids of all words in one array, and how many each word has."""
+        lengths = np.array([len(w) for w in words], np.int64)
+        long = lengths > LONG
+        if not long.any():
+            return self.rounds(words, lengths)
+        results = (self.rounds, ~long), (self.queue, long)
+        ids, sizes = [], np.zeros(len(words), np.int64)
+        for way, which in results:
+            at = np.flatnonzero(which)
+            found, sizes[at] = way([words[i] for i in at], lengths[at])
+            ids.append(found)
+        ends = np.cumsum(sizes)
+        out = np.zeros(int(ends[-1]), np.int64)
+        for (_, which), found in zip(results, ids):
+            out[spread((ends - sizes)[which], sizes[which])] = found
+        return out, sizes
+
+    def ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rank of each pair of symbols, NONE for unknown ones, and what known ones become."""
+        key = left << 32 | right
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[place] == key, self.ranks[place], NONE), self.joined[place]
+
+    def queue(self, words: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`merge` for long words: only places around a join are looked up again.
+
+        Places wait in a queue by the rank of their pair; the lowest rank is joined wherever it
+        stands, in all words. Symbols are linked to their neighbours, so that a place costs the
+        same in a word of any length. Pairs with a joined symbol have higher ranks than its own.
+        """
+        total = int(lengths.sum())
+        symbols = self.first[np.frombuffer(b"".join(words), np.uint8)]
+        ends = np.cumsum(lengths)
+        following = np.arange(1, total + 1)
+        following[ends - 1] = total
+        preceding = np.arange(-1, total - 1)
+        preceding[ends[:-1]] = -1
+        # One place more, for what follows the last symbol of a word.
+        preceding = np.append(preceding, -1)
+        rank = np.full(total, NONE)
+        becomes = np.zeros(total, np.int64)
+        waiting: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+
+        def look(at: np.ndarray) -> None:
+            at = at[following[at] < total]
+            rank[at], becomes[at] = self.ranked(symbols[at], symbols[following[at]])
+            at = at[rank[at] < NONE]
+            at = at[np.argsort(rank[at], kind="stable")]
+            cuts = np.flatnonzero(np.diff(rank[at])) + 1
+            for part in np.split(at, cuts) if len(at) else ():
+                own = int(rank[part[0]])
+                if own not in waiting:
+                    waiting[own] = []
+                    heapq.heappush(order, own)
+                waiting[own].append(part)
+
+        look(np.arange(total))
+        while order:
+            lowest = heapq.heappop(order)
+            at = np.unique(np.concatenate(waiting.pop(lowest)))
+            at = at[rank[at] == lowest]
+            if not len(at):
+                continue
+            # Of overlapping places every second counts, from the left.
+            index = np.arange(len(at))
+            opens = np.append(True, following[at[:-1]] != at[1:])
+            at = at[(index - np.maximum.accumulate(np.where(opens, index, 0))) % 2 == 0]
+            gone = following[at]
+            symbols[at] = becomes[at]
+            following[at] = following[gone]
+            preceding[following[at]] = at
+            rank[at] = rank[gone] = NONE
+            symbols[gone] = -1
+            before = preceding[at]
+            before = before[before >= 0]
+            rank[before] = NONE
+            look(np.union1d(at, before))
+        stays = symbols >= 0
+        word = np.repeat(np.arange(len(words)), lengths)
+        return symbols[stays], np.bincount(word[stays], minlength=len(words))
+
+    def rounds(self, words: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`merge` in rounds.
 
         Every round looks all neighbouring pairs up at once and joins, in each word, its pair of
         the lowest rank wherever it stands. Words without a known pair leave the rounds.
         """
-        lengths = np.array([len(w) for w in words], np.int64)
         symbols = self.first[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), lengths)
         done_symbols, done_words = [], []
         while len(symbols):
             rank = np.full(len(symbols), NONE)
             at = np.flatnonzero(word[1:] == word[:-1])
-            key = symbols[at] << 32 | symbols[at + 1]
-            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            known = self.keys[place] == key
-            at, place = at[known], place[known]
-            rank[at] = self.ranks[place]
+            rank[at], becomes = self.ranked(symbols[at], symbols[at + 1])
             begins = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
             best = np.minimum.reduceat(rank, begins)
             sizes = np.diff(np.concatenate([begins, [len(word)]]))
@@ -96,7 +177,7 @@ class BytePairs:
             chosen &= (index - run) % 2 == 0
             joins = np.flatnonzero(chosen)
             target = np.zeros(len(symbols), np.int64)
-            target[at] = self.joined[place]
+            target[at] = becomes
             symbols[joins] = target[joins]
             stays = ~ended
             stays[joins + 1] = False
@@ -120,8 +201,52 @@ def spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - size), size) + np.arange(total)
 
 
+class Known:
+    """Token ids of words by number, in arrays that grow by doubling; knows how much it holds."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids = np.zeros(1 << 12, np.int32)
+        self.start = np.zeros(1 << 10, np.int64)
+        self.size = np.zeros(1 << 10, np.int64)
+        self.n_ids = self.held = 0
+
+    def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.number)
+        self.ids = self.room(self.ids, self.n_ids + len(ids))
+        self.start = self.room(self.start, n + len(words))
+        self.size = self.room(self.size, n + len(words))
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.start[n : n + len(words)] = self.n_ids + np.cumsum(sizes) - sizes
+        self.size[n : n + len(words)] = sizes
+        self.number.update(zip(words, range(n, n + len(words))))
+        self.n_ids += len(ids)
+        # A string, its entry and its numbers take about so much.
+        self.held += 4 * len(ids) + sum(map(len, words)) + 200 * len(words)
+
+    def forget(self, words: list[str], ids: int) -> None:
+        """Takes the words added last, which have so many ids, back."""
+        for word in words:
+            del self.number[word]
+        self.n_ids -= ids
+        self.held -= 4 * ids + sum(map(len, words)) + 200 * len(words)
+
+    @staticmethod
+    def room(array: np.ndarray, n: int) -> np.ndarray:
+        if n <= len(array):
+            return array
+        wider = np.zeros(max(n, 2 * len(array)), array.dtype)
+        wider[: len(array)] = array
+        return wider
+
+    def take(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words with these numbers in one array, and how many each has."""
+        size = self.size[place]
+        return self.ids[spread(self.start[place], size)], size
+
+
 class Encoder:
-    """Encodes texts, remembering the tokens of words; forgets them all when there are too many."""
+    """Encodes texts, remembering the tokens of words up to CACHED bytes; then it begins anew."""
 
     def __init__(self, pairs: BytePairs):
         self.pairs = pairs
@@ -132,10 +257,9 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {s: i for i, s in enumerate(self.pairs.special)}
-        self.ids = np.array(list(self.pairs.special.values()), np.int64)
-        self.start = np.arange(len(self.ids))
-        self.size = np.ones(len(self.ids), np.int64)
+        self.known = Known()
+        special = self.pairs.special
+        self.known.add(list(special), np.array(list(special.values()), np.int64), np.ones(len(special), np.int64))
 
     def split(self, text: str) -> list[str]:
         """The words; a special token's string is a word of its own."""
@@ -148,26 +272,28 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and how many each text has."""
-        if len(self.number) > CACHED_WORDS:
+        if self.known.held > CACHED:
             self.forget()
+        known = self.known
         words: list[str] = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
             new = self.split(text)
             counts[i] = len(new)
             words += new
-        unseen = list(dict.fromkeys(w for w in words if w not in self.number))
-        if unseen:
-            ids, sizes = self.pairs.merge([w.encode() for w in unseen])
-            self.number.update(zip(unseen, range(len(self.size), len(self.size) + len(unseen))))
-            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.size = np.concatenate([self.size, sizes])
-            self.ids = np.concatenate([self.ids, ids])
-        place = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        size = self.size[place]
-        before = np.concatenate([[0], np.cumsum(size)])
-        ends = before[np.cumsum(counts)]
-        return self.ids[spread(self.start[place], size)], np.diff(np.concatenate([[0], ends]))
+        unseen = list(dict.fromkeys(w for w in words if w not in known.number))
+        long = [w for w in unseen if len(w) > LONG]
+        for added in ([w for w in unseen if len(w) <= LONG], long):
+            if added:
+                ids, sizes = self.pairs.merge([w.encode() for w in added])
+                known.add(added, ids, sizes)
+        place = np.fromiter(map(known.number.__getitem__, words), np.int64, len(words))
+        ids, size = known.take(place)
+        if long:
+            # Long words are not kept.
+            known.forget(long, int(sizes.sum()))
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)]
+        return ids, np.diff(np.concatenate([[0], ends]))
 
 
 def portions(texts: list[str], characters: int = CHARACTERS) -> Iterator[list[str]]:
@@ -195,15 +321,18 @@ def encoder(content: str) -> Encoder:
     return _encoders[key]
 
 
-def _strings(column: pa.Array) -> list[str]:
-    return ["" if t is None else t for t in column.to_pylist()]
+def strings(column: pa.Array, rows: int = 512) -> Iterator[list[str]]:
+    """The texts in portions, a missing one as empty; few of them are Python objects at once."""
+    for begin in range(0, len(column), rows):
+        part = column.slice(begin, rows).to_pylist()
+        yield from portions(["" if t is None else t for t in part])
 
 
 def _lists(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
-    ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
+    ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int32)
     sizes = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
 
 
 def vocabulary(spark: SparkSession, path: str):
@@ -226,7 +355,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     @F.arrow_udf(ArrayType(IntegerType(), False))
     def encode(column: pa.Array) -> pa.Array:
         own = encoder(held.value)
-        return _lists([own.encode(run) for run in portions(_strings(column))])
+        return _lists([own.encode(run) for run in strings(column)])
 
     # Not merged into what reads the ids: each reader would encode anew.
     return docs.withColumn(ids, encode.asNondeterministic()(F.col(text)))
@@ -255,6 +384,44 @@ def decoded(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     return docs.withColumn(text, decode(F.col(ids)))
 
 
+def round_trip(docs: DataFrame, path: str, text: str = "text", into: str = "coded") -> DataFrame:
+    """Adds a struct of n_tokens, ids_sha256 and decoded_sha256: each text encoded and decoded.
+
+    One pass does both, so that neither ids nor decoded texts leave the worker. ids_sha256 is the
+    digest of the ids as little-endian unsigned 32-bit integers, decoded_sha256 that of the decoded
+    text in UTF-8, both lowercase hex. Missing, empty and repeated texts as in `encoded`.
+    """
+    held = vocabulary(docs.sparkSession, path)
+
+    @F.arrow_udf("struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")
+    def code(column: pa.Array) -> pa.Array:
+        own = encoder(held.value)
+        counts, ids_digests, text_digests = [], [], []
+        for run in strings(column):
+            ids, sizes = own.encode(run)
+            spelled, lengths = own.pairs.spell(ids)
+            content, flat = spelled.tobytes(), ids.astype("<u4")
+            ends = np.cumsum(sizes)
+            stops = np.concatenate([[0], np.cumsum(lengths)])[ends].tolist()
+            start = begin = 0
+            for end, stop in zip(ends.tolist(), stops):
+                ids_digests.append(hashlib.sha256(flat[start:end]).hexdigest())
+                decoded = content[begin:stop].decode("utf-8", "replace")
+                text_digests.append(hashlib.sha256(decoded.encode()).hexdigest())
+                start, begin = end, stop
+            counts.append(sizes)
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(np.concatenate(counts) if counts else [], pa.int64()),
+                pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string()),
+            ],
+            ["n_tokens", "ids_sha256", "decoded_sha256"],
+        )
+
+    # Not merged into what reads its fields: each reader would encode anew.
+    return docs.withColumn(into, code.asNondeterministic()(F.col(text)))
+
+
 def ids_sha256(ids: str = "ids") -> Column:
     """Digest of the ids as little-endian unsigned 32-bit integers, lowercase hex."""
     @F.arrow_udf(StringType())

@@ -20,14 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encoded(documents(spark, sf_dir).select("doc_id", "text"), path)
-    return bpe.decoded(ids, path).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        bpe.ids_sha256("ids").alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select("doc_id", "coded.*")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

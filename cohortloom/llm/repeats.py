@@ -388,8 +388,8 @@ def without_repeats(
     Texts are their UTF-8 bytes. Every byte is removed that is covered by a string of `stretch` bytes
     which also starts elsewhere, in the same text or another; with `first_stays` only where it starts
     earlier, texts ascending by doc_id (a missing one first, equal ones by a hash of the text). All is
-    judged on the texts as they are. kept holds the remaining bytes, which need not be whole
-    characters; n_spans counts the removed runs.
+    judged on the texts as they are. n_spans counts the removed runs; kept holds the remaining bytes,
+    which need not be whole characters, and is missing where nothing is removed.
 
     A missing or empty text has no bytes, one shorter than `stretch` keeps all. Rows that share
     doc_id and text are copies of each other; with `first_stays` they are kept or cut alike. Other
@@ -425,7 +425,7 @@ def without_repeats(
                 digests.append(hashlib.sha256(rest).hexdigest() if runs else digest)
                 removed.append(gone)
                 numbers.append(runs)
-                kept.append(rest)
+                kept.append(rest if runs else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("n_bytes"), pa.array(removed, pa.int64()),

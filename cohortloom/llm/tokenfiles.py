@@ -4,27 +4,29 @@ from __future__ import annotations
 
 import json
 import os
-import unicodedata
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .bpe import portions, spread, vocabulary
-from .common import durable_folder
+from .bpe import Known, vocabulary
+from .common import durable, durable_folder
 
 END_ID = 1
 #: Row groups hold whole documents of about so many bytes, pages about so many; each page of each
 #: column is listed with its bounds, so that a reader finds documents without reading the others.
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
-CACHED_CHUNKS = 800_000
+#: Bytes of chunks that a worker remembers about, and bytes of text it works on at once.
+CACHED, PORTION = 160 << 20, 4 << 20
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
 
@@ -32,7 +34,8 @@ class ChunkEncoder:
     """Encodes with the tokenizers library, each chunk between white space once.
 
     For vocabularies that compose (NFC) and lower-case texts and whose words never hold white space,
-    so that chunks do not touch each other.
+    so that chunks do not touch each other. Usual texts are lower-cased, cut and numbered by Arrow,
+    and only chunks that a worker has not met become Python objects.
     """
 
     def __init__(self, content: str):
@@ -48,54 +51,56 @@ class ChunkEncoder:
         self.special = special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self.spaces = regex.compile(r"\p{White_Space}+")
-        # Beyond these, letter case and composition are left to the library.
-        self.unusual = regex.compile(r"[\x1c-\x1fͰ-\U0010ffff]")
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.start = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-
-    def chunks(self, text: str) -> list[str]:
-        if not self.unusual.search(text) and (
-            text.isascii() or unicodedata.is_normalized("NFC", text)
-        ):
-            return text.lower().split()
-        return [c for c in self.spaces.split(self.normalizer.normalize_str(text)) if c]
+        # Texts with special tokens, and those for whose letters Arrow and the library may differ:
+        # separators that are no white space, a letter that becomes two, all that may compose.
+        self.unusual = "|".join(
+            [r"[\x1c-\x1f\x{130}\x{300}-\x{10ffff}]", *map(re.escape, special)]
+        )
+        self.known = Known()
 
     def split(self, text: str) -> list[str]:
-        if not any(s in text for s in self.special):
-            return self.chunks(text)
         out: list[str] = []
-        for part in self.cut.split(text):
-            out += [part] if part in self.special else self.chunks(part)
+        for part in self.cut.split(text) if self.cut else [text]:
+            if part in self.special:
+                out.append(part)
+            else:
+                out += [c for c in self.spaces.split(self.normalizer.normalize_str(part)) if c]
         return out
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one array, and how many each has."""
-        if len(self.number) > CACHED_CHUNKS:
-            self.forget()
-        words: list[str] = []
-        counts = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            new = self.split(text)
-            counts[i] = len(new)
-            words += new
-        unseen = list(dict.fromkeys(w for w in words if w not in self.number))
+    def chunks(self, texts: pa.Array) -> pa.ListArray:
+        """The chunks of each text, white space cut off."""
+        odd = pc.match_substring_regex(texts, self.unusual)
+        # White space at the ends would give empty chunks.
+        usual = pc.utf8_trim_whitespace(pc.utf8_lower(pc.if_else(odd, "", texts)))
+        cut = pc.utf8_split_whitespace(usual)
+        if not pc.any(odd).as_py():
+            return cut
+        which = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        own = pa.array([self.split(texts[i].as_py()) for i in which.tolist()], pa.list_(pa.string()))
+        order = np.arange(len(texts))
+        order[which] = len(texts) + np.arange(len(which))
+        return pa.concat_arrays([cut, own]).take(pa.array(order))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (none missing) in one array, and how many each has."""
+        if self.known.held > CACHED:
+            self.known = Known()
+        known, cut = self.known, self.chunks(texts)
+        flat = cut.flatten()
+        # An empty text is cut to one empty chunk.
+        coded = flat.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        unseen = [w for w in names if w not in known.number]
         if unseen:
             got = [e.ids for e in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
             sizes = np.fromiter(map(len, got), np.int64, len(got))
-            self.number.update(zip(unseen, range(len(self.size), len(self.size) + len(unseen))))
-            self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(sizes) - sizes])
-            self.size = np.concatenate([self.size, sizes])
-            flat = np.fromiter((i for ids in got for i in ids), np.int32, int(sizes.sum()))
-            self.ids = np.concatenate([self.ids, flat])
-        place = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        size = self.size[place]
+            ids = np.fromiter((i for ids in got for i in ids), np.int32, int(sizes.sum()))
+            known.add(unseen, ids, sizes)
+        number = np.fromiter(map(known.number.__getitem__, names), np.int64, len(names))
+        ids, size = known.take(number[coded.indices.to_numpy(zero_copy_only=False)])
+        counts = cut.value_lengths().to_numpy(zero_copy_only=False)
         ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)]
-        return self.ids[spread(self.start[place], size)], np.diff(np.concatenate([[0], ends]))
+        return ids, np.diff(np.concatenate([[0], ends]))
 
 
 _encoders: dict[int, ChunkEncoder] = {}
@@ -108,6 +113,17 @@ def encoder(content: str) -> ChunkEncoder:
     return _encoders[key]
 
 
+def runs(lengths: np.ndarray, most: int = PORTION) -> list[int]:
+    """Numbers of neighbouring rows that hold about so many bytes together, a longer one alone."""
+    out, held, begin = [], 0, 0
+    for row, length in enumerate(lengths.tolist()):
+        if row > begin and held + length > most:
+            out.append(row - begin)
+            begin, held = row, 0
+        held += length
+    return [*out, len(lengths) - begin] if len(lengths) else out
+
+
 def with_end(ids: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
     """The ids with `end` after each text."""
     out = np.full(len(ids) + len(sizes), end, np.int32)
@@ -141,9 +157,10 @@ def write_token_files(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, before = encoder(held.value), TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
+            texts = pc.fill_null(batch.column("text"), "")
             row = 0
-            for run in portions(texts):
+            for rows in runs(pc.binary_length(texts).to_numpy(zero_copy_only=False)):
+                run = texts.slice(row, rows)
                 ids, sizes = own.encode(run)
                 ids, sizes = with_end(ids, sizes, end_id), sizes + 1
                 ends = np.cumsum(sizes)
@@ -185,8 +202,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     bounds in the files, the pages that a query wants are read.
     """
     files = spark.read.schema(SCHEMA).parquet(folder)
-    # One row per file.
-    offsets = (
+    # One row of two numbers per file, of which there are as many as the writing job had tasks: some
+    # hundred thousand at most. The ids themselves are not moved to meet them.
+    offsets = durable(
         files.groupBy("part")
         .agg(F.sum("n_tokens").alias("in_part"))
         .select(
@@ -199,7 +217,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
             ).alias("part_start"),
         )
     )
-    return files.join(offsets, "part").select(
+    return files.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("part_start") + F.col("local_start")).alias("start"), "n_tokens", "ids"
     )
 

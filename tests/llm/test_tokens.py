@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -46,13 +48,50 @@ def test_byte_pairs_equal_library():
 
 
 def test_forgetting_words_changes_nothing(monkeypatch):
-    monkeypatch.setattr(bpe, "CACHED_WORDS", 10)
+    monkeypatch.setattr(bpe, "CACHED", 2000)
     own = bpe.Encoder(bpe.BytePairs(open(BYTES).read()))
     texts = random_texts(2)[:200]
     want = [e.ids for e in library(BYTES).encode_batch(texts, add_special_tokens=False)]
     assert [x for t in texts for x in flat(own, [t])] == want
 
 
+def test_long_words_equal_library():
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rng.choice(letters) for _ in range(1_000_000)), "a" * 100_001, "ab" * 5000]
+    texts += ["".join(map(chr, rng.choices(range(0x4E00, 0x9FFF), k=20_000)))]
+    texts += ["".join(rng.choices("aéx ", k=n)) + "abc" * n for n in (85, 86, 255, 256, 257, 900)]
+    want = [e.ids for e in library(BYTES).encode_batch(texts, add_special_tokens=False)]
+    own = bpe.Encoder(bpe.BytePairs(open(BYTES).read()))
+    start = time.perf_counter()
+    assert flat(own, texts) == want
+    assert time.perf_counter() - start < 30
+    # They are not kept.
+    assert own.known.held < 100_000 and max(map(len, own.known.number)) <= bpe.LONG
+    assert flat(own, texts[3:]) == want[3:]
+
+
+def test_both_ways_of_merging_agree(monkeypatch):
+    pairs = bpe.encoder(open(BYTES).read()).pairs
+    words = [w.encode() for t in random_texts(8) for w in t.split(" ")]
+    ids, sizes = pairs.merge(words)
+    monkeypatch.setattr(bpe, "LONG", 2)
+    other, other_sizes = pairs.merge(words)
+    assert (ids == other).all() and (sizes == other_sizes).all()
+
+
+def test_known_words_are_bounded_by_bytes():
+    known = bpe.Known()
+    for i in range(3000):
+        known.add([f"w{i}", f"v{i}"], np.arange(5), np.array([2, 3]))
+    ids, sizes = known.take(np.array([1, 5999, 0]))
+    assert ids.tolist() == [2, 3, 4, 2, 3, 4, 0, 1] and sizes.tolist() == [3, 3, 2]
+    held = known.held
+    known.add(["long"], np.arange(9), np.array([9]))
+    known.forget(["long"], 9)
+    assert known.held == held > 6000 * 200 and "long" not in known.number
+
+
 def test_overlapping_pairs_join_from_the_left():
     own = bpe.encoder(open(BYTES).read())
     texts = ["a" * n for n in range(40)]
@@ -89,7 +128,24 @@ def test_prefix_scan_composes_maps():
 def test_word_vocabulary_equals_library():
     texts = random_texts(5)
     want = [e.ids for e in library(WORDS).encode_batch(texts, add_special_tokens=False)]
-    assert flat(tokenfiles.encoder(open(WORDS).read()), texts) == want
+    assert flat(tokenfiles.encoder(open(WORDS).read()), pa.array(texts)) == want
+
+
+def test_word_vocabulary_over_code_points(monkeypatch):
+    monkeypatch.setattr(tokenfiles, "CACHED", 100_000)
+    rng = random.Random(6)
+    points = [chr(c) for c in range(0x3000)]
+    points += [chr(c) for c in rng.sample([*range(0x3000, 0xD800), *range(0xE000, 0x110000)], 5000)]
+    texts = [form.format(c) for c in points for form in ("{}", "x{}Y", " A {0} \n b{0}")]
+    want = [e.ids for e in library(WORDS).encode_batch(texts, add_special_tokens=False)]
+    own = tokenfiles.ChunkEncoder(open(WORDS).read())
+    got = [x for i in range(0, len(texts), 500) for x in flat(own, pa.array(texts[i : i + 500]))]
+    assert got == want
+
+
+def test_runs_of_rows():
+    assert tokenfiles.runs(np.array([3, 3, 9, 1, 1]), 6) == [2, 1, 2]
+    assert tokenfiles.runs(np.array([], int)) == [] and tokenfiles.runs(np.array([7]), 6) == [1]
 
 
 def test_operators_on_odd_rows(spark):
@@ -105,6 +161,14 @@ def test_operators_on_odd_rows(spark):
         assert r["decoded"] == lib.decode(want, skip_special_tokens=False)
         assert r["digest"] == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
         assert r["words"] == "words"
+    trip = bpe.round_trip(docs, BYTES).select("text", "size", "coded.*").collect()
+    assert len(trip) == docs.count()
+    for r in trip:
+        want = lib.encode(r["text"] or "", add_special_tokens=False).ids
+        assert r["n_tokens"] == len(want) and r["size"] == "size"
+        assert r["ids_sha256"] == hashlib.sha256(np.array(want, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256((r["text"] or "").encode()).hexdigest()
+    assert bpe.round_trip(docs.limit(0), BYTES).count() == 0
     empty = bpe.encoded(docs.limit(0), BYTES)
     assert bpe.decoded(empty, BYTES).count() == tokencount.counted(empty, BYTES).count() == 0
 
@@ -122,6 +186,9 @@ def test_token_files(spark, tmp_path):
         assert (r["start"], r["n_tokens"], r["ids"]) == (start, len(ids), ids)
         assert r["crc"] == zlib.crc32(np.array(ids, "<u4").tobytes())
         start += len(ids)
+    # Ids are not shuffled to meet the numbers of their files.
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "ids" not in "".join(x for x in plan.split("\n") if "Exchange" in x)
     # Ids are left alone when only the numbers beside them are asked for.
     plan = files.select("doc_id", "start")._jdf.queryExecution().executedPlan().toString()
     assert "ids:array" not in plan
