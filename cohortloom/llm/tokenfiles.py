@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,8 +34,8 @@ SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>
 class ChunkEncoder:
     """Encodes with the tokenizers library, each chunk between white space once.
 
-    For vocabularies that compose (NFC) and lower-case texts and whose words never hold white space,
-    so that chunks do not touch each other. Usual texts are lower-cased, cut and numbered by Arrow,
+    For vocabularies that compose (NFC) and lower-case texts, whose words never hold white space, so
+    that chunks do not touch each other, nor letters together with marks that end a chunk. Usual texts are lower-cased, cut and numbered by Arrow,
     and only chunks that a worker has not met become Python objects.
     """
 
@@ -81,6 +82,24 @@ class ChunkEncoder:
         order[which] = len(texts) + np.arange(len(which))
         return pa.concat_arrays([cut, own]).take(pa.array(order))
 
+    def learn(self, chunks: list[str]) -> None:
+        """Remembers the ids of chunks not known so far; a word before marks is encoded without."""
+        known = self.known
+        cores = [c.rstrip(string.punctuation) for c in chunks]
+        ended = [(c, core) for c, core in zip(chunks, cores) if core != c and core.isalpha()]
+        parts = [c for c, core in zip(chunks, cores) if core == c or not core.isalpha()]
+        for chunk, core in ended:
+            parts += [core, chunk[len(core) :]]
+        parts = [p for p in dict.fromkeys(parts) if p not in known.number]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        ids = np.fromiter((i for ids in got for i in ids), np.int32, int(sizes.sum()))
+        known.add(parts, ids, sizes)
+        if ended:
+            place = [known.number[p] for c, core in ended for p in (core, c[len(core) :])]
+            ids, sizes = known.take(np.array(place))
+            known.add([c for c, _ in ended], ids, sizes.reshape(-1, 2).sum(axis=1))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (none missing) in one array, and how many each has."""
         if self.known.held > CACHED:
@@ -92,10 +111,7 @@ class ChunkEncoder:
         names = coded.dictionary.to_pylist()
         unseen = [w for w in names if w not in known.number]
         if unseen:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            ids = np.fromiter((i for ids in got for i in ids), np.int32, int(sizes.sum()))
-            known.add(unseen, ids, sizes)
+            self.learn(unseen)
         number = np.fromiter(map(known.number.__getitem__, names), np.int64, len(names))
         ids, size = known.take(number[coded.indices.to_numpy(zero_copy_only=False)])
         counts = cut.value_lengths().to_numpy(zero_copy_only=False)
