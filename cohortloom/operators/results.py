@@ -13,6 +13,7 @@ from ..rules.code_sets import HEPATITIS_CODES, HIV_CODES
 from ..rules.result_rules import (
     COMMENT, COMPLETED, HEPATITIS_RULES, HIV_RULES, STRIPPED, UNUSABLE_MARKS, VALUE, ResultRule,
 )
+from ..sources.tables import materialise
 from .codes import CodeSets, tag_codes
 from .comments import comment_presence
 from .skew import lookup_join
@@ -112,3 +113,13 @@ def hiv_results(
     return lookup_join(
         rows, comment_presence(comment_lines), ["ORDER_PROC_ID"], "left"
     ).select(*HIV_RESULT_COLUMNS, "HAS_COMMENT", *extra)
+
+
+def stored_results(results: DataFrame, path: str) -> DataFrame:
+    """Classified results written once, and a scan of them for registries and reports to share.
+
+    The laboratory table is scanned and classified by this write only.  Rows lie by component, so
+    that a reader that wants few components skips the other row groups; a component with very many
+    results fills several files, by order.
+    """
+    return materialise(results, path, sort_by=("COMPONENT_ID", "ORDER_PROC_ID"))

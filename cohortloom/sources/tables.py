@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,12 +50,17 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*columns)
 
 
+#: Stored schemas by session, path and what is asked of it, so that footers are read once.
+_seen: dict[tuple, StructType] = {}
+
+
 def read_source(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", **options
 ) -> DataFrame:
     """A source table with exactly the schema's columns.
 
-    Formats that store a schema are checked against it.  CSV files need a header (on unless the
+    Formats that store a schema are checked against it, the first time a session reads the path
+    for that schema.  CSV files need a header (on unless the
     option says otherwise, which is refused) that names the schema's columns in its order.  In CSV
     and JSON a value that does not fit its column ends the query; Spark looks only at columns the
     query uses, and a field that a JSON line lacks is NULL.
@@ -68,7 +75,12 @@ def read_source(
     reader = spark.read.format(fmt).options(**options)
     if fmt in ("csv", "json"):
         return reader.schema(schema).option("mode", "FAILFAST").load(path)
-    return conform(reader.load(path), schema)
+    key = (spark.sparkContext.applicationId, path, fmt, schema.json(), *sorted(options.items()))
+    if key not in _seen:
+        df = reader.load(path)
+        conform(df, schema)
+        _seen[key] = df.schema
+    return conform(reader.schema(_seen[key]).load(path), schema)
 
 
 def write_table(
@@ -82,11 +94,15 @@ def write_table(
     df.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
 
 
-def materialise(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
+def materialise(
+    df: DataFrame, path: str, mode: str = "errorifexists", sort_by: Sequence[str] = ()
+) -> DataFrame:
     """Compute an intermediate table once, into the caller's folder, and hand back a scan of it.
 
     A lost executor then costs no recomputation, and several registries or reports can read the same
-    results.  Every executor must reach the folder: outside local mode a ``file:`` path is refused
+    results.  With ``sort_by`` the rows are dealt out by ranges of these columns and sorted in each,
+    so that a reader that filters by the first skips most of the table; a further column lets the
+    rows of one frequent value fill several files.  Every executor must reach the folder: outside local mode a ``file:`` path is refused
     unless it lies in the shared folder set as ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
@@ -98,10 +114,32 @@ def materialise(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFr
         spark.sparkContext.master,
         spark.conf.get("spark.checkpoint.dir", None),
     )
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     df.write.mode(mode).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_own: list[tempfile.TemporaryDirectory] = []
+
+
+def working_folder(spark: SparkSession, name: str) -> str:
+    """A new path for a table that the application keeps while it runs.
+
+    It lies in the shared folder set as ``spark.checkpoint.dir``.  Where that is unset, a temporary
+    folder that goes with the process serves in local mode; elsewhere it is an error.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        if not _own:
+            _own.append(tempfile.TemporaryDirectory(prefix="tables-"))
+        shared = _own[0].name
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def check_reach(path: str, scheme: str, master: str, shared: str | None) -> None:
     """ValueError for a folder that other machines cannot be expected to see."""
     local = master.startswith("local") and not master.startswith("local-cluster")

@@ -443,6 +443,8 @@ def statements(with_views: bool = True) -> dict[str, str]:
     )
     add("registry_hcv", *_HCV_ALL, then="SELECT * FROM hcv_registry")
     found["registry_hcv_from_results"] = found["registry_hcv"]
+    found["stored_results"] = found["classify_hcv"]
+    found["stored_results_hiv"] = found["classify_hiv"]
     add(
         "registry_hcv_no_medications",
         PATIENTS,

@@ -13,7 +13,7 @@ import __spark_entry__ as driver
 from oracle.statements import statements
 from cohortloom.operators.comments import positive_comments
 from cohortloom.operators.encounters import latest_encounter
-from cohortloom.operators.results import hiv_results
+from cohortloom.operators.results import hepatitis_results, hiv_results, stored_results
 from cohortloom.operators.skew import lookup_join
 from cohortloom.plans import hepatitis, hiv, reports, substance_use
 from cohortloom.sources import sample_views as views
@@ -217,3 +217,60 @@ def test_hot_patient_is_reduced_before_the_shuffle(spark, stored):
         ),
         key=lambda r: str(r[0]),
     )
+
+
+def scans(df):
+    """The folders that the plan's file scans read, one entry per scan, and the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"FileScan parquet .*?Location: \w+\(\d+ paths?\)\[([^\],]*)", plan), plan
+
+
+def test_registries_share_stored_results(spark, stored, tmp_path):
+    """The laboratory table is scanned and classified by the write only."""
+    stores = {
+        "hcv": stored_results(hepatitis_results(stored["labs"]), str(tmp_path / "hcv")),
+        "hiv": stored_results(hiv_results(stored["labs"]), str(tmp_path / "hiv")),
+    }
+    written, plan = scans(hiv_results(stored["labs"]))
+    assert len(written) == 1 and written[0].endswith("/labs")
+    registries = {
+        "hcv": hepatitis.hepatitis_registry(
+            stored["patients"], medications=stored["meds"], results=stores["hcv"]
+        ),
+        "hiv": hiv.hiv_registry(
+            stored["patients"], comment_lines=stored["lines"], medications=stored["meds"],
+            encounters=stored["encounters"], as_of=AS_OF, results=stores["hiv"],
+        ),
+    }
+    for name, registry in registries.items():
+        read, plan = scans(registry)
+        assert not any(path.endswith("/labs") for path in read)
+        assert any(path.endswith(f"/{name}") for path in read)
+        # Nothing is classified anew.
+        assert "REPEATEDLY" not in plan.upper()
+    # The one that looks for few components asks the stored table for them.
+    assert re.search(r"/hiv\].*PushedFilters: \[[^\]]*COMPONENT_ID", registries["hiv"]._jdf.queryExecution().executedPlan().toString())
+    want = hiv.hiv_registry(
+        stored["patients"], stored["labs"], stored["lines"], stored["meds"], stored["encounters"], AS_OF
+    )
+    assert by(registries["hiv"], "PAT_ID", "HIVCOR", "AB_DIFF_REACTIVE") == by(want, "PAT_ID", "HIVCOR", "AB_DIFF_REACTIVE")
+
+
+def test_stored_results_lie_by_component(spark, stored, tmp_path):
+    with settings(spark, adaptive__coalescePartitions__enabled="false"):
+        kept = stored_results(hiv_results(stored["labs"]), str(tmp_path / "r"))
+    ranges = sorted(
+        kept.groupBy(F.input_file_name().alias("f"))
+        .agg(F.min("COMPONENT_ID").alias("a"), F.max("COMPONENT_ID").alias("b"))
+        .select("a", "b").collect()
+    )
+    assert len(ranges) > 2
+    assert all(b[0] >= a[1] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_a_frequent_component_fills_several_files(spark, stored, tmp_path):
+    hot = stored["labs"].withColumn("COMPONENT_ID", F.lit(784))
+    with settings(spark, adaptive__coalescePartitions__enabled="false"):
+        kept = stored_results(hepatitis_results(hot), str(tmp_path / "r"))
+    sizes = [r["count"] for r in kept.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 2 and max(sizes) < sum(sizes) / 2

@@ -5,9 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.sources import schemas
+from cohortloom.sources import schemas, tables
 from cohortloom.sources.tables import (
-    SchemaMismatch, check_reach, conform, materialise, read_source, write_table,
+    SchemaMismatch, check_reach, conform, materialise, read_source, working_folder, write_table,
 )
 
 from .helpers import by, day, lab, labs, make
@@ -116,3 +116,25 @@ def test_folders_of_one_machine_are_refused_on_a_cluster():
         check_reach("/mnt/shared/x", "file", master, "file:///mnt/shared")
         check_reach("/x", "hdfs", master, None)
     check_reach("/tmp/x", "file", "local[8]", None)
+
+
+def test_working_folders(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    one, two = working_folder(spark, "results"), working_folder(spark, "results")
+    assert one != two and one.startswith(shared)
+    df = labs(spark, [lab("a")])
+    assert materialise(df, one).count() == 1
+
+
+def test_a_schema_is_checked_once_per_session(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "d")
+    schema = schemas.DIAGNOSES
+    spark.createDataFrame([], schema).write.parquet(path)
+    read_source(spark, path, schema)
+    calls = []
+    monkeypatch.setattr(tables, "conform", lambda df, schema: calls.append(1) or conform(df, schema))
+    assert read_source(spark, path, schema).schema == read_source(spark, path, schema).schema
+    assert len(calls) == 2
+    # Another schema for the same path is checked for itself.
+    with pytest.raises(SchemaMismatch):
+        read_source(spark, path, schemas.LABS)
