@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.skew import lookup_join
+
 from .common import durable, fingerprint, whole_text
 
 #: A chunk ends at the first line or sentence end after LEAST characters, or at MOST.
@@ -17,8 +19,23 @@ def chunks(text: Column, least: int = LEAST, most: int = MOST) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def spelled(parts: str) -> Column:
+    """An ordered list of chunk identifiers as text."""
+    return F.array_join(
+        F.transform(
+            parts,
+            lambda p: F.concat_ws(
+                ":", p["h1"].cast("string"), p["h2"].cast("string"), F.coalesce(F.hex(p["text"]), F.lit(""))
+            ),
+        ),
+        ",",
+    )
+
+
 def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_sha256, rows, recipe): the ordered chunk identifiers of each distinct row.
+    """(doc_id, text_sha256, rows, recipe) of each distinct row: the digest of its recipe.
+
+    A recipe is the list of chunk identifiers in their order.
 
     A chunk's identifier is its 128-bit hash, once all chunks with that hash are seen to hold the
     same characters. Where they do not, the identifier also holds the digest of the characters.
@@ -58,7 +75,7 @@ def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             "doc_id",
             "text_sha256",
             "rows",
-            F.transform("parts", lambda p: F.struct(p["h1"], p["h2"], p["text"])).alias("recipe"),
+            F.unhex(F.sha2(spelled("parts"), 256)).alias("recipe"),
         )
     )
 
@@ -75,7 +92,8 @@ def decisions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     groups = listed.groupBy("recipe").agg(
         F.max("doc_id").alias("keep_id"), F.sum("rows").alias("group_size")
     )
-    return listed.join(groups, "recipe").select(
+    # Copies that hold a third of all rows are one recipe: the join can split it.
+    return lookup_join(listed, groups, ["recipe"], "inner").select(
         "doc_id", "text_sha256", "rows", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("keeps"),
     )
@@ -95,7 +113,12 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns."""
+    """The documents that stay, with their own columns; see `decisions`.
+
+    Of rows that share doc_id and text, that with the least hash of all its columns stays, so that a
+    task that runs again keeps the same. A missing text or doc_id stays missing. The empty table
+    gives none.
+    """
     keys = ["k1", "k2", "k3"]
     stay = decisions(docs, doc_id, text).filter("keeps").select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k1"),
@@ -110,6 +133,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             F.sha2(whole_text(text), 256).alias("k3"),
         )
         .join(stay, keys, "left_semi")
-        .dropDuplicates(keys)
+        .groupBy(*keys)
+        .agg(F.min_by("document", F.xxhash64("document")).alias("document"))
         .select("document.*")
     )

@@ -41,39 +41,47 @@ EVIDENCE = 9.0
 #: are moved there.
 FALL = 10.0
 EDGE = 3
+#: Parts of one run that are gathered in one array.
+BLOCK = 256
 SPANS = "array<struct<start:int,rank:int,kind:string,stop:int,value:string>>"
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(numbers: Column) -> Column:
+    """Running sums of an array of numbers, by steps that double: n log n in all."""
+
+    def steps(n: Column) -> Column:
+        last = F.floor(F.log2(n - 0.5)).cast("int")
+        return F.when(n < 2, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), last))
+
+    def step(sums: Column, k: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), k)
+        return F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - back), F.lit(0)))
+
+    return let(numbers, lambda all_: F.aggregate(steps(F.size(all_)), all_, step))
+
+
 def spans(text: Column, pattern: str, kind: str, rank: int) -> Column:
     """All leftmost non-overlapping matches as structs of code points, end exclusive, with text."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    empty = F.array().cast(SPANS)
-    walked = F.aggregate(
-        F.arrays_zip(between.alias("gap"), found.alias("value")),
-        F.struct(F.lit(0).alias("at"), empty.alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["value"]), F.lit(0))).alias("at"),
-            F.when(x["value"].isNull(), acc["spans"])
-            .otherwise(
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + F.length(x["gap"])).alias("start"),
-                            F.lit(rank).alias("rank"),
-                            F.lit(kind).alias("kind"),
-                            (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("stop"),
-                            x["value"].alias("value"),
-                        )
-                    ),
-                )
-            )
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+
+    def placed(values: Column) -> Column:
+        taken = F.zip_with(gaps, values, lambda g, v: F.length(g) + F.length(v))
+        return F.zip_with(
+            values,
+            running(taken),
+            lambda v, stop: F.struct(
+                (stop - F.length(v)).alias("start"), F.lit(rank).alias("rank"),
+                F.lit(kind).alias("kind"), stop.alias("stop"), v.alias("value"),
+            ),
+        )
+
+    return F.when(text.rlike(pattern), let(found, placed)).otherwise(F.array()).cast(SPANS)
 
 
 def found(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,29 +212,55 @@ def ratios(rows: DataFrame, words: DataFrame) -> list[float]:
     return [a - b for a, b in zip(logs("random"), logs("ordinary"), strict=True)]
 
 
-def uncovered(run: Column, bases: Column) -> Column:
-    """The parts of a run outside all base spans, as spans."""
-    inside = F.array_sort(
-        F.filter(bases, lambda b: (b["start"] < run["stop"]) & (run["start"] < b["stop"]))
-    )
+def uncovered(runs: Column, bases: Column) -> Column:
+    """The parts of runs (apart, ascending) outside all base spans, as spans.
+
+    All begins and ends are sorted together; running sums tell between each two of them whether, and
+    in which run, the text there is, and in how many base spans.
+    """
+
+    def ends(spans_: Column, run: int) -> Column:
+        def end(at: Column, step: int) -> Column:
+            # A part between ends is in a run and no base: 1; the number of the run is beside it.
+            inside = step if run else -2 * step
+            return F.struct(
+                at.alias("at"), F.lit(inside).alias("inside"),
+                F.lit(run if step > 0 else 0).alias("run"),
+            )
+
+        return F.flatten(F.transform(spans_, lambda s: F.array(end(s["start"], 1), end(s["stop"], -1))))
 
-    def part(start: Column, stop: Column) -> Column:
-        value = F.substring(run["value"], start - run["start"] + 1, stop - start)
-        each = F.struct(
-            start.alias("start"), run["rank"].alias("rank"), run["kind"].alias("kind"),
-            stop.alias("stop"), value.alias("value"),
+    def parts(all_: Column, inside: Column, number: Column) -> Column:
+        cut = F.transform(
+            F.sequence(F.lit(0), F.size(all_) - 2),
+            lambda i: F.struct(
+                F.get(all_, i)["at"].alias("start"), F.get(all_, i + 1)["at"].alias("stop"),
+                F.get(inside, i).alias("inside"), F.get(runs, F.get(number, i) - 1).alias("of"),
+            ),
         )
-        return F.when(stop - start >= LEAST_RANDOM, F.array(each)).otherwise(F.array().cast(SPANS))
-
-    return F.aggregate(
-        inside,
-        F.struct(run["start"].alias("at"), F.array().cast(SPANS).alias("parts")),
-        lambda acc, b: F.struct(
-            F.greatest(acc["at"], b["stop"]).alias("at"),
-            F.concat(acc["parts"], part(acc["at"], b["start"])).alias("parts"),
+        long = F.filter(cut, lambda p: (p["inside"] == 1) & (p["stop"] - p["start"] >= LEAST_RANDOM))
+        return F.transform(
+            long,
+            lambda p: F.struct(
+                p["start"].alias("start"), p["of"]["rank"].alias("rank"), p["of"]["kind"].alias("kind"),
+                p["stop"].alias("stop"),
+                F.substring(
+                    p["of"]["value"], p["start"] - p["of"]["start"] + 1, p["stop"] - p["start"]
+                ).alias("value"),
+            ),
+        )
+
+    apart = let(
+        F.array_sort(F.concat(ends(runs, 1), ends(bases, 0))),
+        lambda all_: let(
+            F.struct(
+                running(F.transform(all_, lambda e: e["inside"])).alias("inside"),
+                running(F.transform(all_, lambda e: e["run"])).alias("number"),
+            ),
+            lambda sums: parts(all_, sums["inside"], sums["number"]),
         ),
-        lambda acc: F.concat(acc["parts"], part(acc["at"], run["stop"])),
     )
+    return F.when((F.size(bases) > 0) & (F.size(runs) > 0), apart).otherwise(runs).cast(SPANS)
 
 
 def randomness(value: Column, table: list[float]) -> Column:
@@ -240,16 +274,27 @@ def randomness(value: Column, table: list[float]) -> Column:
 def random_parts(run: Column, table: list[float], threshold: float) -> Column:
     """The spans of a run whose summed ratio is furthest above the threshold, one after the other.
 
-    A sum starts anew where it is used up or has fallen by FALL.
+    A sum starts anew where it is used up or has fallen by FALL. Parts found are gathered in blocks,
+    so that adding one does not copy all.
     """
     none = F.array().cast("array<struct<start:int,stop:int>>")
     zero = F.lit(0.0)
 
-    def closed(acc: Column) -> Column:
+    def good(acc: Column) -> Column:
         size = acc["stop"] - acc["start"]
-        good = (size >= LEAST_RANDOM - 2 * EDGE) & (acc["top"] + size * threshold >= EVIDENCE)
-        own = F.struct(acc["start"].alias("start"), acc["stop"].alias("stop"))
-        return F.when(good, F.concat(acc["parts"], F.array(own))).otherwise(acc["parts"])
+        return (size >= LEAST_RANDOM - 2 * EDGE) & (acc["top"] + size * threshold >= EVIDENCE)
+
+    def closed(acc: Column) -> Column:
+        own = F.array(F.struct(acc["start"].alias("start"), acc["stop"].alias("stop")))
+        return (
+            F.when(~good(acc), acc["parts"])
+            .when(F.size(acc["parts"]) >= BLOCK, own)
+            .otherwise(F.concat(acc["parts"], own))
+        )
+
+    def blocks(acc: Column) -> Column:
+        full = good(acc) & (F.size(acc["parts"]) >= BLOCK)
+        return F.when(full, F.concat(acc["blocks"], F.array(acc["parts"]))).otherwise(acc["blocks"])
 
     def step(acc: Column, x: Column) -> Column:
         at, total = acc["at"] + 1, acc["total"] + x - threshold
@@ -262,13 +307,18 @@ def random_parts(run: Column, table: list[float], threshold: float) -> Column:
             F.when(over, at).otherwise(acc["start"]).alias("start"),
             F.when(over, at).when(more, at + 1).otherwise(acc["stop"]).alias("stop"),
             F.when(over, closed(acc)).otherwise(acc["parts"]).alias("parts"),
+            F.when(over, blocks(acc)).otherwise(acc["blocks"]).alias("blocks"),
         )
 
     start = F.struct(
         F.lit(0).alias("at"), zero.alias("total"), zero.alias("top"), F.lit(0).alias("start"),
         F.lit(0).alias("stop"), none.alias("parts"),
+        F.array().cast("array<array<struct<start:int,stop:int>>>").alias("blocks"),
+    )
+    parts = F.aggregate(
+        randomness(run["value"], table), start, step,
+        lambda acc: F.flatten(F.concat(blocks(acc), F.array(closed(acc)))),
     )
-    parts = F.aggregate(randomness(run["value"], table), start, step, closed)
 
     def span(p: Column) -> Column:
         n = F.length(run["value"])
@@ -301,8 +351,6 @@ def secret_spans(
     rows = found(docs, doc_id, text)
     table = ratios(rows, ordinary(docs, text))
 
-    runs = F.flatten(
-        F.transform("runs", lambda r: uncovered(r, F.concat("assign", "access", "hex")))
-    )
+    runs = uncovered(F.col("runs"), F.concat("assign", "access", "hex"))
     parts = F.flatten(F.transform(runs, lambda r: random_parts(r, table, threshold)))
     return rows.withColumn("random", parts).drop("runs")

@@ -27,7 +27,7 @@ END_ID = 1
 #: column is listed with its bounds, so that a reader finds documents without reading the others.
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
 #: Bytes of chunks that a worker remembers about, and bytes of text it works on at once.
-CACHED, PORTION = 160 << 20, 4 << 20
+CACHED, PORTION = 96 << 20, 2 << 20
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
 

@@ -231,3 +231,45 @@ def test_jaccard_query(spark):
 
 def test_clashing_columns_are_there():
     assert {"document", "key", "rows"} <= set(CLASHES)
+
+
+def test_rows_that_differ_in_source_only(spark):
+    rows = [(1, "same text", "en", f"s{i}") for i in range(20)] + [(0, "same text", "en", "z")]
+    kept = {
+        tuple(map(tuple, exact.deduplicated(table(spark, rows).repartition(n)).select("doc_id", "source").collect()))
+        for n in (1, 2, 5, 7)
+    }
+    assert len(kept) == 1 and len(next(iter(kept))) == 1 and next(iter(kept))[0][0] == 1
+
+
+def split_joins(spark, run, factor="1.5"):
+    """The plan of the query, run so that a partition with a third of the rows counts as skewed."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": factor,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = run()
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_groups_are_split(spark):
+    rng = random.Random(12)
+    rows = [(i, "one\ntwo\nthree" if i % 3 == 0 else sentence(rng, 20), "en") for i in range(6000)]
+    docs = table(spark, rows).repartition(8)
+    # Rows of copies are alike and compress well, so they weigh little in so small a table.
+    assert "skew=true" in split_joins(spark, lambda: exact.decisions(docs), "0.1")
+    assert "skew=true" in split_joins(spark, lambda: linededup.repeated_lines(docs))
+    assert Counter(map(tuple, exact.duplicates(docs).collect())) == exact_want(rows)

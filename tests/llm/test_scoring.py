@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -67,6 +68,16 @@ def test_packed_hashes_that_meet_are_compared_in_full(spark, monkeypatch):
     assert all(r["n_repeat_words"] == want[r["doc_id"]] for r in got)
 
 
+def test_texts_too_long_for_packed_places(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PLACE_BITS", 3)
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 40)))) for i in range(100)]
+    got = quality.assessed(table(spark, rows)).collect()
+    assert {r["doc_id"]: r["n_repeat_words"] for r in got} == {
+        i: measures_want(t)["n_repeat_words"] for i, t in rows
+    }
+
+
 def test_em_recovers_accuracies():
     rng = random.Random(1)
     right = [0.95, 0.9, 0.7, 0.85]
@@ -143,6 +154,47 @@ def test_base_spans(spark):
             assert all(s["value"] == text[r["doc_id"]][s["start"] : s["stop"]] for s in r[k])
 
 
+def test_running_sums(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.randint(-9, 9) for _ in range(i)]) for i in range(70)]
+    df = spark.createDataFrame(rows, "n int, a array<int>").select("a", secrets.running(F.col("a")).alias("s"))
+    assert all(r["s"] == np.cumsum(r["a"]).tolist() for r in df.collect())
+
+
+def test_runs_outside_base_spans(spark):
+    rng = random.Random(9)
+    pieces = [" ", "x", "=", "token=", "password: ", "AKIA" + "Q7" * 9, "0f" * 13, "Zq7" * 5, ".", "é", "-"]
+    rows = [(i, "".join(rng.choice(pieces) for _ in range(rng.randint(0, 25)))) for i in range(300)]
+    bases = F.concat("assign", "access", "hex")
+    got = secrets.found(table(spark, rows)).select("doc_id", secrets.uncovered(F.col("runs"), bases).alias("u"))
+    cut = 0
+    for doc_id, parts in got.collect():
+        text = dict(rows)[doc_id]
+        hidden = {i for a, _, _, b in spans_want(text) for i in range(a, b)}
+        want = []
+        for m in re.finditer(secrets.CANDIDATE, text):
+            for part in re.finditer("1+", "".join("0" if i in hidden else "1" for i in range(*m.span()))):
+                if part.end() - part.start() >= secrets.LEAST_RANDOM:
+                    want.append((m.start() + part.start(), m.start() + part.end()))
+            cut += any(i in hidden for i in range(*m.span()))
+        assert [(p["start"], p["stop"]) for p in parts] == want
+        assert all(p["value"] == text[p["start"] : p["stop"]] for p in parts)
+    assert cut > 50
+
+
+def test_very_many_spans_in_one_text(spark):
+    rng = random.Random(10)
+    runs = ["".join(rng.choices("abcdefABCDEF0123456789", k=14)) for _ in range(100_000)]
+    hexes = ["".join(rng.choices("abcdef0123456789", k=24)) for _ in range(20_000)]
+    text = " ".join(runs[:50_000] + hexes + runs[50_000:])
+    start = time.perf_counter()
+    r = secrets.secret_spans(table(spark, [(1, text), (2, "token=abc123XYZ")])).filter("doc_id = 1").first()
+    assert time.perf_counter() - start < 90
+    assert sorted((s["start"], s["stop"]) for s in r["hex"]) == [
+        (a, b) for a, _, k, b in spans_want(text) if k == "hex"
+    ]
+
+
 def test_random_strings_stand_out(spark):
     rng = random.Random(3)
     syllables = ["the", "ing", "tion", "er", "con", "ment", "able", "re", "pro", "ver", "ist", "al"]
