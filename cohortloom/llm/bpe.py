@@ -209,6 +209,7 @@ class Known:
         self.ids = np.zeros(1 << 12, np.int32)
         self.start = np.zeros(1 << 10, np.int64)
         self.size = np.zeros(1 << 10, np.int64)
+        self.meetings = np.zeros(1 << 10, np.int32)
         self.n_ids = self.held = 0
 
     def add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
@@ -231,6 +232,23 @@ class Known:
         self.n_ids -= ids
         self.held -= 4 * ids + sum(map(len, words)) + 200 * len(words)
 
+    def met(self, place: np.ndarray) -> None:
+        """Notes that the words with these different numbers were used once more."""
+        self.meetings = self.room(self.meetings, len(self.number))
+        self.meetings[place] += 1
+
+    def often(self) -> Known:
+        """The words that were used several times, as long as they are the smaller part."""
+        self.met(np.zeros(0, np.int64))
+        again = np.flatnonzero(self.meetings[: len(self.number)] > 1)
+        out = Known()
+        if 2 * len(again) < len(self.number):
+            names = list(self.number)
+            out.add([names[i] for i in again.tolist()], *self.take(again))
+            # They stay again if they are used again.
+            out.met(np.arange(len(again)))
+        return out
+
     @staticmethod
     def room(array: np.ndarray, n: int) -> np.ndarray:
         if n <= len(array):

@@ -55,10 +55,10 @@ def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         .filter("least <> most")
         .select("h1", "h2", F.lit(True).alias("mixed"))
     )
+    pieces = pieces.withColumn("digest", F.unhex(F.sha2("chunk", 256))).drop("chunk")
+    # A chunk that a third of all texts share is one key: the join can split it.
     return (
-        pieces.withColumn("digest", F.unhex(F.sha2("chunk", 256)))
-        .drop("chunk")
-        .join(mixed, ["h1", "h2"], "left")
+        lookup_join(pieces, mixed, ["h1", "h2"])
         .groupBy("doc_id", "text_sha256")
         .agg(
             F.count_if(F.coalesce(F.col("place"), F.lit(0)) == 0).alias("rows"),

@@ -27,7 +27,7 @@ END_ID = 1
 #: column is listed with its bounds, so that a reader finds documents without reading the others.
 ROW_GROUP, PAGE = 32 << 20, 256 << 10
 #: Bytes of chunks that a worker remembers about, and bytes of text it works on at once.
-CACHED, PORTION = 96 << 20, 2 << 20
+CACHED, PORTION = 112 << 20, 4 << 20
 SCHEMA = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
 
 
@@ -103,7 +103,7 @@ class ChunkEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (none missing) in one array, and how many each has."""
         if self.known.held > CACHED:
-            self.known = Known()
+            self.known = self.known.often()
         known, cut = self.known, self.chunks(texts)
         flat = cut.flatten()
         # An empty text is cut to one empty chunk.
@@ -113,6 +113,7 @@ class ChunkEncoder:
         if unseen:
             self.learn(unseen)
         number = np.fromiter(map(known.number.__getitem__, names), np.int64, len(names))
+        known.met(number)
         ids, size = known.take(number[coded.indices.to_numpy(zero_copy_only=False)])
         counts = cut.value_lengths().to_numpy(zero_copy_only=False)
         ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)]

@@ -90,6 +90,13 @@ def test_known_words_are_bounded_by_bytes():
     known.add(["long"], np.arange(9), np.array([9]))
     known.forget(["long"], 9)
     assert known.held == held > 6000 * 200 and "long" not in known.number
+    known.met(np.arange(6000))
+    known.met(np.array([7, 1]))
+    kept = known.often()
+    assert list(kept.number) == ["v0", "v3"] and kept.held < known.held
+    assert kept.take(np.array([1, 0]))[0].tolist() == known.take(np.array([7, 1]))[0].tolist()
+    # Not used again, or used by most: nothing stays.
+    assert not kept.often().number
 
 
 def test_overlapping_pairs_join_from_the_left():
