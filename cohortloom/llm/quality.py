@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, durable, durable_folder, fingerprint, whole_text
+from .common import SPACE, WORD, durable, fingerprint, whole_text
 
 LEAST_WORDS = 50
 #: Of a packed (hash, place) number; the other bits are the hash's.
@@ -244,14 +243,19 @@ def assessed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def good_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are kept, with their own columns; see `judged`.
 
-    Texts are measured once: the documents are written beside their measures to the shared folder,
-    which takes one copy of them, and read again when the rules are weighed. Empty and missing texts
-    fail the base, repeated rows fare alike, the empty table gives none.
+    Texts are measured twice, not moved: a copy of them beside their measures would stay on disk as
+    long as what follows reads it. Empty and missing texts fail the base, repeated rows fare alike,
+    the empty table gives none.
     """
-    spark = docs.sparkSession
-    path = f"{durable_folder(spark)}/measured-{uuid.uuid4().hex}"
-    measured(docs, text).filter(~base_failed()).write.parquet(path)
-    features = spark.read.parquet(path)
-    counts = features.groupBy(votes().alias("votes")).count().collect()
-    share, rates = fit({r["votes"]: r["count"] for r in counts}, len(RULES))
-    return features.filter(probability(share, rates) >= 0.5).select("document.*")
+    features = measured(docs, text)
+    narrow = durable(
+        features.withColumns({"votes": votes(), "base_failed": base_failed()})
+        .filter("NOT base_failed")
+        .groupBy("votes")
+        .count()
+    )
+    share, rates = fit({r["votes"]: r["count"] for r in narrow.collect()}, len(RULES))
+    return (
+        features.filter(~base_failed() & (probability(share, rates) >= 0.5))
+        .select("document.*")
+    )
