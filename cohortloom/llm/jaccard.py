@@ -9,15 +9,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.operators.skew import lookup_join
+
 from .bpe import portions
 from .common import durable, ship
 
 #: Words in a shingle, and the similarity of a link in hundredths.
 WORDS, PERCENT = 5, 80
-#: Numbers of 64 bits in a sketch.
+#: The least numbers of 64 bits in a sketch; larger sets have wider ones.
 SKETCH = 16
 #: Documents around one first document that a join may pair, and of a block where there are more.
+#: One with a wider sketch counts as several.
 FEW, BLOCK = 64, 4096
+#: Keys among which a task looks for those that its documents share, before it sends them on.
+HELD = 1 << 20
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
 
@@ -116,11 +121,31 @@ class Bands:
 
 
 def distance(a: str, b: str) -> Column:
-    """In how many bits two sketches differ."""
-    ones = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    """In how many bits two sketches differ, the wider one folded to the width of the other."""
+
+    def folded(of: str, width: Column) -> Column:
+        return F.when(F.size(of) <= width, F.col(of)).otherwise(
+            F.transform(
+                F.sequence(F.lit(0), width - 1),
+                lambda i: F.aggregate(
+                    F.sequence(i, F.size(of) - 1, width),
+                    F.lit(0).cast("long"),
+                    lambda x, j: x.bitwiseXOR(F.get(of, j)),
+                ),
+            )
+        )
+
+    ones = F.zip_with(
+        folded(a, F.size(b)), folded(b, F.size(a)), lambda x, y: F.bit_count(x.bitwiseXOR(y))
+    )
     return F.aggregate(ones, F.lit(0), lambda total, x: total + x)
 
 
+def like_sizes(a: str, b: str, percent: int) -> Column:
+    """Whether sets of these sizes may be linked at all."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
 def differing(a: Column, b: Column, percent: int) -> Column:
     """The most that linked sets of these sizes differ."""
     return F.floor((a + b) * (100 - percent) / (100 + percent)).cast("long")
@@ -186,19 +211,43 @@ def _xor(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketches(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """SKETCH numbers per set; a token flips one bit, so that equal tokens cancel in a XOR."""
+def _widths(sizes: np.ndarray) -> np.ndarray:
+    """How many numbers of 64 bits a set's sketch has: a power of two, with a bit per token or more.
+
+    Linked sets a <= b differ in a / 4 tokens at most (80 %), unrelated ones in about half the bits
+    of a, so that sketches tell them apart whatever their size.
+    """
+    need = np.maximum(SKETCH, -(-sizes // 64))
+    return np.int64(1) << np.frexp(need - 1)[1].astype(np.int64)
+
+
+def _sketches(shingles: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sketches of all sets one after the other, and where each begins and the last ends.
+
+    A token flips one bit, so that equal tokens cancel in a XOR. Its place in a sketch of half the
+    width is its place modulo that, so a sketch folds into narrower ones.
+    """
+    width = _widths(sizes)
+    ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(width)])
     of = np.repeat(np.arange(len(sizes)), sizes)
     bit = mixed(shingles, 9)
-    place = of * SKETCH + (bit % _U(SKETCH)).astype(np.int64)
+    place = ends[of] + (bit & (width[of] - 1).astype(_U)).astype(np.int64)
     order = np.argsort(place, kind="stable")
-    out = np.zeros(len(sizes) * SKETCH, _U)
+    out = np.zeros(ends[-1], _U)
     if len(place):
         sorted_place = place[order]
         at = np.flatnonzero(np.concatenate([[True], sorted_place[1:] != sorted_place[:-1]]))
         flips = _U(1) << (bit[order] >> _U(58))
         out[sorted_place[at]] = np.bitwise_xor.reduceat(flips, at)
-    return out.reshape(-1, SKETCH)
+    return out, ends
+
+
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Sketches, one in a row, folded to a width."""
+    while sketches.shape[1] > width:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
 
 
 def _runs(batches: Iterator[pa.RecordBatch], words: int):
@@ -231,11 +280,39 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(one, "doc_id long, n_shingles long, f1 long, f2 long")
 
 
+def _led(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """The distinct (key, doc_id), with the smallest doc_id of the key and whether it has others."""
+    key, doc = (np.concatenate(column) for column in zip(*parts))
+    order = np.lexsort((doc, key))
+    k, d = key[order], doc[order]
+    begins = np.concatenate([[True], k[1:] != k[:-1]])[: len(k)]
+    new = begins.copy()
+    new[1:] |= d[1:] != d[:-1]
+    order, k, d, begins = order[new], k[new], d[new], begins[new]
+    at = np.flatnonzero(begins)
+    lead = d[at][np.cumsum(begins) - 1]
+    many = np.repeat(np.diff(np.append(at, len(k))) > 1, np.diff(np.append(at, len(k))))
+    # As they came, since neighbours are alike and so compress better.
+    back = np.argsort(order)
+    batch = _batch(
+        "key doc_id lead many", k[back], d[back], pa.array(lead[back], mask=begins[back]), many[back]
+    )
+    for begin in range(0, len(batch), 1 << 16):
+        yield batch.slice(begin, 1 << 16)
+
+
 def keyed(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(key, doc_id) of all sets that a task meets for the first time."""
+    """(key, doc_id, lead, many) of all sets that a task meets for the first time.
+
+    Among some HELD keys at a time a task groups the documents that share one: `lead` is the
+    smallest of them, missing for itself, and `many` tells whether there are others. So at most one
+    document in a portion has to meet those of other portions, however many share the key.
+    """
+    held = HELD
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[tuple[int, int]] = set()
+        parts, size = [], 0
         for ids, shingles, sizes in _runs(batches, words):
             prints = zip(
                 _xor(mixed(shingles, 1), sizes).tolist(), _xor(mixed(shingles, 2), sizes).tolist()
@@ -246,9 +323,15 @@ def keyed(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     met.add(p)
                     new[i] = True
             owner, key = join_keys(shingles[np.repeat(new, sizes)], sizes[new], percent)
-            yield _batch("key doc_id", key, ids.to_numpy()[new][owner])
+            parts.append((key, ids.to_numpy()[new][owner]))
+            size += len(key)
+            if size >= held:
+                yield from _led(parts)
+                parts, size = [], 0
+        if parts:
+            yield from _led(parts)
 
-    return docs.mapInArrow(keys, "key long, doc_id long")
+    return docs.mapInArrow(keys, "key long, doc_id long, lead long, many boolean")
 
 
 def sets_of(docs: DataFrame, words: int) -> DataFrame:
@@ -257,13 +340,13 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, shingles, sizes in _runs(batches, words):
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            sketches, places = _sketches(shingles, sizes)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(shingles.view(np.int64))),
                     pa.ListArray.from_arrays(
-                        pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * SKETCH),
-                        pa.array(_sketches(shingles, sizes).reshape(-1).view(np.int64)),
+                        pa.array(places.astype(np.int32)), pa.array(sketches.view(np.int64))
                     ),
                 ],
                 ["doc_id", "shingles", "sketch"],
@@ -278,6 +361,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     near = (
         pairs.join(small.toDF("a", "sketch_a", "n_a"), "a")
         .join(small.toDF("b", "sketch_b", "n_b"), "b")
+        .filter(like_sizes("n_a", "n_b", percent))
         .filter(distance("sketch_a", "sketch_b") <= differing(F.col("n_a"), F.col("n_b"), percent))
         .select("a", "b", "n_a", "n_b")
     )
@@ -318,20 +402,27 @@ def components(links: DataFrame) -> DataFrame:
     return links.select(F.col("u").alias("doc_id"), F.col("v").alias("component"))
 
 
-SPOT, BIT = "xxhash64(doc_id) & 65535", "cast(shiftright(xxhash64(doc_id), 16) & 63 as int)"
+#: Bits of a filter per wanted doc_id, and the most numbers of 64 bits that it has.
+PER_ID, SPOTS = 16, 1 << 20
 
 
 def possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """Adds whether a row may have a wanted doc_id, so that few texts are shuffled to find out.
 
-    A bit for each hash of a wanted doc_id, in 65,536 numbers of 64 bits: that and no more is
-    broadcast, however many are wanted. Where all bits are set every row is possible.
+    A bit for each hash of a wanted doc_id, PER_ID bits per id rounded up to a power of two, in
+    SPOTS numbers at most, some 60 MB: that and no more is broadcast. Of the other rows 6 % pass
+    at most, up to 4 million ids; beyond that more do, and where all bits are set every row does.
     """
-    bits = wanted.groupBy(F.expr(SPOT).alias("spot")).agg(
-        F.expr(f"bit_or(shiftleft(1L, {BIT}))").alias("bits")
+    spots, ids = 64, wanted.count()
+    while spots < SPOTS and spots * 64 < PER_ID * ids:
+        spots *= 2
+    spot = F.expr(f"xxhash64(doc_id) & {spots - 1}")
+    bit = "cast(shiftrightunsigned(xxhash64(doc_id), 58) as int)"
+    bits = wanted.groupBy(spot.alias("spot")).agg(
+        F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits")
     )
-    return rows.join(F.broadcast(bits), F.expr(SPOT) == F.col("spot"), "left").select(
-        *rows.columns, F.expr(f"coalesce(getbit(bits, {BIT}), 0) = 1").alias("possible")
+    return rows.join(F.broadcast(bits), spot == F.col("spot"), "left").select(
+        *rows.columns, F.expr(f"coalesce(getbit(bits, {bit}), 0) = 1").alias("possible")
     )
 
 
@@ -340,30 +431,34 @@ def compared(met: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -
 
     Documents that share a key share its first document, so they are compared once for each such
     first document rather than for each key: those outside its component with all others. Few are
-    joined; many are dealt out in blocks, of which each task compares one pair.
+    joined; many are dealt out in blocks, of which each task compares one pair. Keys and first
+    documents are looked up by joins that adaptive execution can split.
     """
     component = F.coalesce("component", "doc_id")
-    labelled = met.select("key", "head", "doc_id").join(joined, "doc_id", "left").select(
-        "key", "head", "doc_id", component.alias("component")
+    labelled = met.select("key", "doc_id").join(joined, "doc_id", "left").select(
+        "key", "doc_id", component.alias("component")
     )
     split = labelled.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
+        F.min("component").alias("least"), F.max("component").alias("most"),
+        F.min("doc_id").alias("head"),
     )
     members = (
-        labelled.join(split.filter("least < most").select("key"), "key", "left_semi")
+        lookup_join(labelled, split.filter("least < most").select("key", "head"), ["key"], "inner")
         .select("head", "doc_id", "component")
         .distinct()
         .join(sets.select("doc_id", "sketch", F.size("shingles").alias("n")), "doc_id")
     )
     mains = joined.select(F.col("doc_id").alias("head"), F.col("component").alias("main"))
-    members = members.join(mains, "head", "left").withColumn(
+    members = lookup_join(members, mains, ["head"]).withColumn(
         "outside", F.col("component") != F.coalesce("main", "head")
     )
     members = durable(members.drop("main"))
+    weight = (F.size("sketch") / SKETCH).cast("long")
     sizes = members.groupBy("head").agg(
-        F.count(F.lit(1)).alias("members"), F.count_if("outside").alias("outsiders")
+        F.sum(weight).alias("members"),
+        F.sum(F.when(F.col("outside"), weight).otherwise(0)).alias("outsiders"),
     )
-    members = members.join(sizes, "head")
+    members = lookup_join(members, sizes, ["head"], "inner")
     columns = ("head", "doc_id", "component", "sketch", "n")
 
     def named(rows: DataFrame, side: str) -> DataFrame:
@@ -378,6 +473,7 @@ def compared(met: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -
             F.col("head_a") == F.col("head_b"),
         )
         .filter("component_a <> component_b")
+        .filter(like_sizes("n_a", "n_b", percent))
         .filter(distance("sketch_a", "sketch_b") <= differing(F.col("n_a"), F.col("n_b"), percent))
         .select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b"))
     )
@@ -392,24 +488,31 @@ def compared(met: DataFrame, joined: DataFrame, sets: DataFrame, percent: int) -
         )
 
     def compare(one: pa.Table, two: pa.Table) -> pa.Table:
-        def arrays(t: pa.Table, side: str):
-            flat = t.column(f"sketch_{side}").combine_chunks().flatten().to_numpy()
-            return (
-                flat.view(_U).reshape(-1, SKETCH),
-                *(t.column(f"{c}_{side}").to_numpy() for c in ("doc_id", "component", "n")),
-            )
-
-        (sa, da, ca, na), (sb, db, cb, nb) = arrays(one, "a"), arrays(two, "b")
-        firsts, seconds = [], []
-        for i in range(len(da)):
-            apart = np.bitwise_count(sb ^ sa[i]).sum(axis=1, dtype=np.int64)
-            near = (apart <= (nb + na[i]) * (100 - percent) // (100 + percent)) & (cb != ca[i])
-            firsts.append(np.minimum(db[near], da[i]))
-            seconds.append(np.maximum(db[near], da[i]))
-        none = np.zeros(0, np.int64)
-        return pa.table(
-            {"a": np.concatenate([none, *firsts]), "b": np.concatenate([none, *seconds])}
-        )
+        def by_width(t: pa.Table, side: str):
+            """(doc_id, component, n, sketches) of the rows of each width."""
+            lists = t.column(f"sketch_{side}").combine_chunks()
+            width = lists.value_lengths().to_numpy()
+            flat = lists.flatten().to_numpy().view(_U)
+            begin = np.cumsum(width, dtype=np.int64) - width
+            numbers = [t.column(f"{c}_{side}").to_numpy() for c in ("doc_id", "component", "n")]
+            for w in np.unique(width).tolist():
+                at = np.flatnonzero(width == w)
+                yield *(x[at] for x in numbers), flat[begin[at][:, None] + np.arange(w)]
+
+        theirs = list(by_width(two, "b"))
+        firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for da, ca, na, wide_a in by_width(one, "a"):
+            for db, cb, nb, wide_b in theirs:
+                width = min(wide_a.shape[1], wide_b.shape[1])
+                sa, sb = _folded(wide_a, width), _folded(wide_b, width)
+                for i in range(len(da)):
+                    alike = 100 * np.minimum(nb, na[i]) >= percent * np.maximum(nb, na[i])
+                    at = np.flatnonzero(alike & (cb != ca[i]))
+                    apart = np.bitwise_count(sb[at] ^ sa[i]).sum(axis=1, dtype=np.int64)
+                    near = at[apart <= (nb[at] + na[i]) * (100 - percent) // (100 + percent)]
+                    firsts.append(np.minimum(db[near], da[i]))
+                    seconds.append(np.maximum(db[near], da[i]))
+        return pa.table({"a": np.concatenate(firsts), "b": np.concatenate(seconds)})
 
     many = (
         dealt(left, "a", "outsiders", "members").groupBy("head_a", "outsiders", "members")
@@ -440,7 +543,8 @@ def near_duplicates(
     Equal sets are one class, found by fingerprint. Of the others, sketches of XORed token hashes
     are compared block by block, within groups of like sizes: linked sets share a block (see Bands).
     In each group of an equal block every set is first paired with the first set and the one before
-    it; what that leaves in several components is then paired across components.
+    it, within portions of a task and then across portions; what that leaves in several components
+    is then paired across components.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -460,18 +564,23 @@ def near_duplicates(
     )
     equal = classes.filter("doc_id > first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
 
-    order = Window.partitionBy("key").orderBy("doc_id")
+    # Those that lead a portion meet by key, the others only those of their own portion.
+    order = Window.partitionBy("key", "lead").orderBy("doc_id")
     met = durable(
         keyed(named, words, percent)
         .select(
             "key",
             "doc_id",
-            F.first("doc_id").over(order).alias("head"),
-            F.lag("doc_id").over(order).alias("before"),
+            "lead",
+            "many",
+            F.coalesce("lead", F.first("doc_id").over(order)).alias("head"),
+            F.coalesce(F.lag("doc_id").over(order), "lead").alias("before"),
             F.lead("doc_id").over(order).alias("after"),
         )
-        .filter("doc_id <> head OR doc_id <> coalesce(after, doc_id)")
-        .drop("after")
+        .filter(
+            "lead IS NOT NULL OR many OR doc_id <> head OR doc_id <> coalesce(after, doc_id)"
+        )
+        .drop("lead", "many", "after")
     )
     candidates = durable(
         met.select(F.col("head").alias("a"), F.col("doc_id").alias("b"))
@@ -479,7 +588,7 @@ def near_duplicates(
         .filter("a < b")
         .distinct()
     )
-    wanted = met.select("doc_id").distinct()
+    wanted = durable(met.select("doc_id").distinct())
     near = possible(named, wanted).filter("possible").drop("possible")
     sets = durable(sets_of(near.join(wanted, "doc_id", "left_semi"), words))
     links = durable(verified(candidates, sets, percent).unionByName(equal))

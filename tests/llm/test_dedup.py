@@ -195,13 +195,102 @@ def test_linked_sets_share_a_key(percent):
             assert set(key[owner == 0].tolist()) & set(key[owner == 1].tolist()), (n, drop)
 
 
-def test_sketch_distance_bounds_the_difference():
+def sketch_of(x):
+    sketch, ends = jaccard._sketches(x, np.array([len(x)]))
+    assert ends.tolist() == [0, len(sketch)]
+    return sketch
+
+
+def test_sketch_distance_bounds_the_difference(spark):
     rng = np.random.default_rng(2)
-    for n in (5, 50, 2000):
+    pairs = []
+    for n in (5, 50, 1000, 2000, 9000):
         a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
         b = np.unique(np.concatenate([a[n // 4 :], rng.integers(0, 2**64, n // 3, dtype=np.uint64)]))
-        sa, sb = (jaccard._sketches(x, np.array([len(x)]))[0] for x in (a, b))
-        assert int(np.bitwise_count(sa ^ sb).sum()) <= len(np.setxor1d(a, b))
+        wide = [sketch_of(x)[None, :] for x in (a, b)]
+        assert all(w.shape[1] * 64 >= len(x) for w, x in zip(wide, (a, b)))
+        width = min(w.shape[1] for w in wide)
+        sa, sb = (jaccard._folded(w, width) for w in wide)
+        apart = int(np.bitwise_count(sa ^ sb).sum())
+        assert apart <= len(np.setxor1d(a, b)) and apart % 2 == len(np.setxor1d(a, b)) % 2
+        pairs.append((*(w[0].view(np.int64).tolist() for w in wide), apart))
+    assert {len(p[0]) == len(p[1]) for p in pairs} == {True, False}
+    df = spark.createDataFrame(pairs, "a array<long>, b array<long>, apart long")
+    got = df.select("apart", jaccard.distance("a", "b"), jaccard.distance("b", "a")).collect()
+    assert all(r[0] == r[1] == r[2] for r in got)
+
+
+def test_sketches_of_unrelated_long_sets_stay_apart():
+    rng = np.random.default_rng(4)
+    for n in (500, 1024, 1025, 3000, 20_000, 200_000):
+        a, b = (np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for _ in range(2))
+        sa, sb = (jaccard._folded(sketch_of(x)[None, :], 16 if n <= 1024 else 10**9) for x in (a, b))
+        allowed = (len(a) + len(b)) * 20 // 180
+        assert int(np.bitwise_count(sa ^ sb).sum()) > 1.5 * allowed
+
+
+def test_task_portions_name_the_first_of_a_key():
+    one = (np.array([5, 7, 5, 9], np.uint64), np.array([3, 3, 2, 4]))
+    two = (np.array([5, 9, 9, 7], np.uint64), np.array([8, 4, 1, 3]))
+    rows = [r for b in jaccard._led([one, two]) for r in b.to_pylist()]
+    assert sorted((r["key"], r["doc_id"], r["lead"], r["many"]) for r in rows if r["lead"]) == [
+        (5, 3, 2, True), (5, 8, 2, True), (9, 4, 1, True)
+    ]
+    assert sorted((r["key"], r["doc_id"], r["many"]) for r in rows if not r["lead"]) == [
+        (5, 2, True), (7, 3, False), (9, 1, True)
+    ]
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert list(jaccard._led([none])) == []
+
+
+@pytest.mark.parametrize("held", [1, 700, 1 << 20])
+def test_jaccard_portions_give_the_same(spark, monkeypatch, held):
+    monkeypatch.setattr(jaccard, "HELD", held)
+    rows = near_copies(5, 120)
+    docs = table(spark, rows).repartition(4)
+    got = jaccard.near_duplicates(docs, words=4, percent=85).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == components_want(rows)
+
+
+def test_hot_keys_meet_pre_aggregated(spark):
+    """Of the documents with a hot key a task sends but one to the others."""
+    rng = random.Random(10)
+    base = sentence(rng, 90)
+    rows = [(i, f"{base} {sentence(rng, 1 + i % 3)}") for i in range(3000)]
+    docs = table(spark, rows).coalesce(2).select("doc_id", "text")
+    jaccard.ship(spark)
+    met = jaccard.keyed(docs, 5, 80).groupBy("key").agg(
+        F.count("*").alias("n"), F.count_if(F.col("lead").isNull()).alias("leads")
+    )
+    hot = met.orderBy(F.desc("n")).first()
+    assert hot["n"] > 1500 and hot["leads"] <= 2
+
+
+def test_long_unrelated_texts_with_a_passage(spark):
+    """Blocks hold few of many pairs back; none of unrelated sets is left to verify."""
+    rng = random.Random(11)
+    shared = sentence(rng, 700)
+    rows = [(i, shared + " " + sentence(rng, 4000)) for i in range(70)]
+    near = rows[5][1].split()
+    near[2000] = "changed"
+    rows.append((90, " ".join(near)))
+    docs = table(spark, rows).select("doc_id", "text")
+    jaccard.ship(spark)
+    sets = jaccard.durable(jaccard.sets_of(docs, 5))
+    met = sets.select(F.lit(1).alias("key"), "doc_id", F.lit(0).alias("head"))
+    none = spark.createDataFrame([], "doc_id long, component long")
+    got = jaccard.compared(met, none, sets, 80).collect()
+    assert [tuple(r) for r in got] == [(5, 90)]
+
+
+def test_filters_grow_with_their_content(spark):
+    rows = spark.range(200_000).withColumnRenamed("id", "doc_id")
+    for wanted in (0, 1, 40_000):
+        some = rows.filter(F.col("doc_id") < wanted)
+        got = jaccard.possible(rows, some).groupBy(F.col("doc_id") < wanted, "possible").count()
+        counts = {(r[0], r[1]): r[2] for r in got.collect()}
+        assert counts.get((True, False), 0) == 0 and counts.get((True, True), 0) == wanted
+        assert counts.get((False, True), 0) <= 0.065 * 200_000
 
 
 def test_components_of_chains(spark):
