@@ -30,15 +30,12 @@ XXH64 = (
 
 
 def folding() -> np.ndarray:
-    """What each code point counts as: its lower case if it is a letter, else a gap.
-
-    Letters beyond the basic plane count as one letter.
-    """
-    out = np.full(0x110000, GAP, np.uint16)
+    """What each code point counts as: its lower case if it is a letter, else a gap."""
+    out = np.full(0x110000, GAP, np.uint32)
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     for c in regex.findall(r"\p{L}", every):
         low = c.lower()
-        out[ord(c)] = min(ord(low if len(low) == 1 else c), 0xFFFF)
+        out[ord(c)] = ord(low if len(low) == 1 else c)
     return out
 
 
@@ -48,7 +45,8 @@ _tables: dict[str, np.ndarray] = {}
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The packed ORDER-grams of all texts, 16 bits a letter, and the text each belongs to.
 
-    Other characters are gaps, runs of them one; before a text stand gaps.
+    Other characters are gaps, runs of them one; before a text stand gaps. A letter beyond the basic
+    plane counts as two, the halves that UTF-16 writes it in.
     """
     if "fold" not in _tables:
         _tables["fold"] = folding()
@@ -60,6 +58,15 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     opens = np.concatenate([[True], of[1:] != of[:-1]]) if len(of) else np.zeros(0, bool)
     keep = ~(gap & np.concatenate([[False], gap[:-1]])) | opens
     letters, of, opens = letters[keep].astype(np.uint64), of[keep], opens[keep]
+    wide = letters > np.uint64(0xFFFF)
+    if wide.any():
+        at = np.repeat(np.arange(len(letters)), 1 + wide)
+        second = np.concatenate([[False], at[1:] == at[:-1]])
+        letters, of, opens, wide = letters[at], of[at], opens[at], wide[at]
+        over = letters - np.uint64(0x10000)
+        high, low = over >> np.uint64(10), over & np.uint64(0x3FF)
+        halves = np.where(second, np.uint64(0xDC00) | low, np.uint64(0xD800) | high)
+        letters = np.where(wide, halves, letters)
     index = np.arange(len(letters))
     within = index - np.maximum.accumulate(np.where(opens, index, 0))
     packed = letters.copy()

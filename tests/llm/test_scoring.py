@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -356,6 +357,68 @@ def test_unseen_grams_get_no_numbers_of_others(spark):
     assert (models.look("share", 4, unseen) == 0).all() and (models.look("left", 4, unseen) == 1).all()
 
 
+def units(text):
+    """Lower-case letters as 16-bit numbers, a blank for each run of others."""
+    letters = "".join(c.lower() if c.isalpha() else " " for c in text)
+    raw = re.sub(" +", " ", letters).lstrip().encode("utf-16-le")
+    return [raw[i] + 256 * raw[i + 1] for i in range(0, len(raw), 2)]
+
+
+def four_grams(text):
+    padded = [32] * 3 + units(text)
+    return [tuple(padded[i : i + 4]) for i in range(len(padded) - 3)]
+
+
+def kneser_ney_want(texts):
+    """A function from a gram to the probability of its last letter, by dictionaries."""
+    level = Counter(g for t in texts for g in four_grams(t))
+    orders = []
+    for _ in range(4):
+        once, twice = (sum(n == k for n in level.values()) + 1 for k in (1, 2))
+        total, kinds = Counter(), Counter()
+        for g, n in level.items():
+            total[g[:-1]] += n
+            kinds[g[:-1]] += 1
+        orders.insert(0, (level, total, kinds, once / (once + 2 * twice)))
+        level = Counter(g[1:] for g in level)
+
+    def probability(gram):
+        p = 1 / 65536
+        for k, (counts, total, kinds, discount) in enumerate(orders, 1):
+            own = gram[-k:]
+            if own[:-1] in total:
+                share = max(counts[own] - discount, 0) / total[own[:-1]]
+                p = share + discount * kinds[own[:-1]] / total[own[:-1]] * p
+        return p
+
+    return probability
+
+
+def test_models_equal_dictionaries(spark):
+    """Bits of seen and unseen texts, of two scripts beyond the basic plane among others."""
+    rng = random.Random(15)
+
+    def text(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    adlam = "".join(chr(0x1E922 + i) for i in range(12)) + " "
+    osage = "".join(chr(0x104D8 + i) for i in range(12)) + " "
+    alphabets = {"adlam": adlam, "latin": "abcdéfg, ", "osage": osage}
+    learned = {k: [text(a, 200) for _ in range(3)] for k, a in alphabets.items()}
+    rows = [(k, t) for k, texts in learned.items() for t in texts]
+    models = langid.models_of(langid.fitted(spark.createDataFrame(rows, "lang string, text string")))
+    assert models.langs == sorted(alphabets)
+    want = {k: kneser_ney_want(texts) for k, texts in learned.items()}
+    tested = {k: text(a, 150) for k, a in alphabets.items()} | {"mixed": "Ab \U0001E922x 日本"}
+    bits, size = models.entropies(list(tested.values()))
+    for i, (name, t) in enumerate(tested.items()):
+        grams = four_grams(t)
+        assert size[i] == len(grams)
+        exact = [-sum(math.log2(want[k](g)) for g in grams) / len(grams) for k in models.langs]
+        assert bits[i].tolist() == pytest.approx(exact, abs=1e-9)
+        assert name == "mixed" or models.langs[bits[i].argmin()] == name
+
+
 def test_gram_counts(spark):
     labelled = spark.createDataFrame([("x", "Ab,  c"), ("x", "ab"), ("y", ""), ("y", "7!")], "lang string, text string")
     langid.ship(spark)
