@@ -1,4 +1,8 @@
-"""Language identification by interpolated Kneser-Ney character models in sorted arrays."""
+"""Language identification by interpolated Kneser-Ney character models.
+
+Models that take at most MODEL_BYTES go to the workers as sorted arrays; larger ones stay a table,
+which is joined with the different grams of the texts. Both ways give the same numbers.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import lookup_join
 from .bpe import portions
 from .common import durable, ship
 
@@ -18,6 +23,12 @@ ORDER = 4
 #: Bits of a slot. With all 64 a gram has a slot of its own: XXH64 of eight bytes is one-to-one.
 BITS = 64
 GAP = 32
+#: What a letter has that no model has seen in any context, before it is discounted.
+FLOOR = 1 / 65536
+#: So much of models goes through the driver and to each worker at most.
+MODEL_BYTES = 1 << 30
+#: One labelled row in so many is kept from the models and sets limits and temperature.
+ASIDE = 16
 #: Of the labelled rows of a language so many have a cross-entropy below its limit.
 ACCEPTED = 0.995
 TEMPERATURES = (1.0, 2.0, 4.0, 8.0, 16.0, 32.0)
@@ -208,7 +219,7 @@ class Models:
 
     def bits(self, keys: np.ndarray) -> np.ndarray:
         """-log2 of the probability of each gram's last letter, per language."""
-        p = np.full((len(keys), max(1, len(self.langs))), 1 / 65536)
+        p = np.full((len(keys), max(1, len(self.langs))), FLOOR)
         for order in range(1, ORDER + 1):
             own = keys & np.uint64((1 << (16 * order)) - 1)
             context = own >> np.uint64(16)
@@ -242,20 +253,47 @@ def models_of(content: bytes) -> Models:
     return _models[key]
 
 
-def fitted(labelled: DataFrame) -> bytes:
-    """The models of all languages in (lang, text), as Arrow file content; it grows with the different grams."""
+def fitted(labelled: DataFrame) -> DataFrame:
+    """The models of all languages in (lang, text), as a stored table; it grows with the different grams."""
     ship(labelled.sparkSession)
     counts = durable(gram_counts(labelled.filter("lang IS NOT NULL AND text IS NOT NULL")))
-    table = kneser_ney(counts).toArrow()
+    return durable(kneser_ney(counts))
+
+
+def packed(models: DataFrame) -> bytes:
+    """The models as Arrow file content, for the workers."""
+    table = models.toArrow()
     out = io.BytesIO()
     with pa.ipc.new_file(out, table.schema) as writer:
         writer.write_table(table)
     return out.getvalue()
 
 
-def scored(docs: DataFrame, models: bytes, text: str = "text", entropies: str = "entropies") -> DataFrame:
-    """Adds a map from language to bits per character; empty without letters or models."""
+def bytes_at_most(models: DataFrame) -> int:
+    """A bound on what the models take in a worker: file content, slots and a number per language."""
+    rows, langs = models.agg(F.count(F.lit(1)), F.count_distinct("lang")).first()
+    return rows * (40 + 8 * langs)
+
+
+def lettered(text: str) -> bool:
+    """Gaps alone are no letters: a text's grams then are a single gap at most."""
+    return bool(regex.search(r"\p{L}", text))
+
+
+def scored(
+    docs: DataFrame, models: DataFrame, text: str = "text", entropies: str = "entropies", most: int = MODEL_BYTES
+) -> DataFrame:
+    """Adds a map from language to bits per character; empty without letters or models.
+
+    Models of at most `most` bytes are broadcast, others joined.
+    """
     ship(docs.sparkSession)
+    if bytes_at_most(models) <= most:
+        return scored_by_arrays(docs, packed(models), text, entropies)
+    return scored_by_join(docs, models, text, entropies)
+
+
+def scored_by_arrays(docs: DataFrame, models: bytes, text: str, entropies: str) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(models)
 
     @F.arrow_udf("map<string,double>")
@@ -264,44 +302,147 @@ def scored(docs: DataFrame, models: bytes, text: str = "text", entropies: str =
         out = []
         for run in portions(["" if t is None else t for t in column.to_pylist()]):
             per, size = own.entropies(run)
-            # Gaps alone are no letters: a text's grams then are a single gap at most.
-            lettered = np.array([bool(regex.search(r"\p{L}", t)) for t in run])
+            some = np.array([lettered(t) for t in run])
             out += [
                 list(zip(own.langs, row)) if ok and own.langs else []
-                for row, ok in zip(per.tolist(), (lettered & (size > 0)).tolist())
+                for row, ok in zip(per.tolist(), (some & (size > 0)).tolist())
             ]
         return pa.array(out, pa.map_(pa.string(), pa.float64()))
 
     return docs.withColumn(entropies, score.asNondeterministic()(F.col(text)))
 
 
+def row_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(at, gram, n) of rows of (at, text): the different grams of each text that has letters."""
+    for batch in batches:
+        texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
+        first = 0
+        for run in portions(texts):
+            at = np.asarray(batch.column(0))[first : first + len(run)]
+            first += len(run)
+            keys, of = grams([t if lettered(t) else "" for t in run])
+            order = np.lexsort((keys, of))
+            keys, of = keys[order], of[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+            starts = np.flatnonzero(new)
+            n = np.diff(np.append(starts, len(keys)))
+            for i in range(0, len(starts), 1 << 16):
+                some = starts[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at[of[some]]), pa.array(keys[some].view(np.int64)), pa.array(n[i : i + (1 << 16)])],
+                    ["at", "gram", "n"],
+                )
+
+
+def gram_bits(used: DataFrame, models: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(gram, bits): -log2 of the probability of each gram's last letter, per language; the languages.
+
+    From single letters up, each order's probabilities are joined to the grams one letter longer. A
+    key has as many partners as there are letters, so no key grows with the input.
+    """
+
+    def numbers(part: str, order: int, name: str) -> DataFrame:
+        return (
+            models.filter((F.col("part") == part) & (F.col("grams") == order))
+            .groupBy("slot")
+            .agg(F.map_from_entries(F.collect_list(F.struct("lang", "value"))).alias(name))
+        )
+
+    def slot_of(key: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(key), 64 - BITS)
+
+    # A number per language: what single letters leave.
+    left = {
+        r["lang"]: r["value"]
+        for r in models.filter((F.col("part") == "left") & (F.col("grams") == 1)).select("lang", "value").collect()
+    }
+    langs = sorted(left)
+    lower = F.map_from_arrays(
+        F.array(*map(F.lit, langs)), F.array(*(F.lit(left[x] * FLOOR) for x in langs))
+    )
+    known = None
+    for order in range(1, ORDER + 1):
+        mask = (1 << (16 * order)) - 1
+        rows = used.select((F.col("gram").bitwiseAND(F.lit(mask)) if order < ORDER else F.col("gram")).alias("key"))
+        rows = rows.distinct().withColumn("slot", slot_of(F.col("key")))
+        rows = rows.join(numbers("share", order, "shares"), "slot", "left")
+        if known is None:
+            p = F.transform_values(lower, lambda x, q: F.coalesce(F.try_element_at("shares", x), F.lit(0.0)) + q)
+        else:
+            rows = rows.withColumn("shorter", F.col("key").bitwiseAND(F.lit(mask >> 16)))
+            rows = rows.withColumn("slot", slot_of(F.shiftrightunsigned("key", 16)))
+            rows = rows.join(numbers("left", order, "lefts"), "slot", "left").join(known, "shorter")
+            p = F.transform_values(
+                "p",
+                lambda x, q: F.coalesce(F.try_element_at("shares", x), F.lit(0.0))
+                + F.coalesce(F.try_element_at("lefts", x), F.lit(1.0)) * q,
+            )
+        known = rows.select(F.col("key").alias("shorter"), p.alias("p"))
+    bits = F.transform_values("p", lambda x, q: -F.log2(F.greatest(q, F.lit(1e-300))))
+    return known.select(F.col("shorter").alias("gram"), bits.alias("bits")), langs
+
+
+def scored_by_join(docs: DataFrame, models: DataFrame, text: str, entropies: str) -> DataFrame:
+    """The different grams of each text, by the shared folder, meet their bits in a join that can be split."""
+    at = "at"
+    while at in docs.columns:
+        at += "_"
+    rows = durable(docs.withColumn(at, F.monotonically_increasing_id()))
+    found = durable(
+        rows.select(F.col(at).alias("at"), F.col(text).alias("text")).mapInArrow(row_grams, "at long, gram long, n long")
+    )
+    bits, langs = gram_bits(found.select("gram").distinct(), models)
+    size = F.sum("n")
+    per = F.map_from_arrays(
+        F.array(*map(F.lit, langs)).cast("array<string>"),
+        F.array(*(F.sum(F.col("n") * F.col("bits")[x]) / size for x in langs)).cast("array<double>"),
+    )
+    sums = lookup_join(found, bits, ["gram"], "inner").groupBy("at").agg(per.alias(entropies))
+    none = F.create_map().cast("map<string,double>")
+    return (
+        rows.withColumn("__at", F.col(at)).drop(at)
+        .join(sums.withColumnRenamed("at", "__at"), "__at", "left")
+        .select(*(F.col(f"`{c}`") for c in docs.columns), F.coalesce(F.col(entropies), none).alias(entropies))
+    )
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def set_aside(doc_id: Column) -> Column:
+    """One row in ASIDE of those not held out, by the higher bits of the same number."""
+    return F.floor(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) / 4) % ASIDE == 0
+
+
+def identified(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", most: int = MODEL_BYTES
+) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score, bits and accepted.
 
-    Models are learned from text and label of all documents that are not held out and have both.
-    lang_pred has the lowest bits per character, the alphabetically first of equal ones; `und`
-    without letters, without text, or when nothing was learned. score is its probability: a softmax
-    over -bits whose temperature fits the labels learned from best. accepted is false where bits are
-    above what ACCEPTED of that language's own labelled documents have, so for texts in none of the
-    languages. Repeated rows fare alike; a missing doc_id is not held out; the empty table gives
+    Models are learned from text and label of all documents that are not held out and have both, but
+    for one in ASIDE; these give temperature and limits, those learned from do for a language (or a
+    table) that has none set aside. A language is learned if any of its rows is not set aside. Models
+    over `most` bytes stay a table. lang_pred has the lowest bits per character, the alphabetically
+    first of equal ones; `und` without letters, without text, or when nothing was learned. score is
+    its probability: a softmax over -bits whose temperature fits the labels set aside best. accepted
+    is false where bits are above what ACCEPTED of that language's own documents set aside have, so
+    for texts in none of the languages. Repeated rows fare alike; a missing doc_id is not held out; the empty table gives
     none. Label and source are no inputs of a prediction.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"),
-        held_out(F.col(doc_id)).alias("held_out"),
+        held_out(F.col(doc_id)).alias("held_out"), set_aside(F.col(doc_id)).alias("aside"),
     )
-    models = fitted(rows.filter("NOT held_out").select("lang", "text"))
+    models = fitted(rows.filter("NOT held_out AND NOT aside").select("lang", "text"))
     best = F.array_min(
         F.transform(
             F.map_entries("entropies"), lambda e: F.struct(e["value"].alias("bits"), e["key"].alias("lang"))
         )
     )
     results = durable(
-        scored(rows, models).drop("text").withColumn("best", best)
+        scored(rows, models, most=most).drop("text").withColumn("best", best)
     )
 
     def chance(of: Column, temperature: Column) -> Column:
@@ -316,25 +457,29 @@ def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
     own = F.try_element_at("entropies", F.col("lang"))
     fits = learned.select(
         *(
-            F.avg(-F.log(F.greatest(chance(own, F.lit(t)), F.lit(1e-12)))).alias(f"t{i}")
-            for i, t in enumerate(TEMPERATURES)
+            F.coalesce(F.avg(F.when(F.col("aside"), loss)), F.avg(loss))
+            for loss in (
+                -F.log(F.greatest(chance(own, F.lit(t)), F.lit(1e-12))) for t in TEMPERATURES
+            )
         )
     ).first()
     loss = [x if x is not None else 0.0 for x in fits]
     temperature = TEMPERATURES[loss.index(min(loss))]
-    # One number per language learned; the models of each are on the driver already.
-    most = learned.groupBy("lang").agg(F.percentile_approx(own, F.lit(ACCEPTED), F.lit(1000)).alias("most"))
-    limits = F.lit(None).cast("double")
-    for row in most.collect():
-        limits = F.when(F.col("lang_pred") == row["lang"], F.lit(row["most"])).otherwise(limits)
+    limits = learned.groupBy(F.col("lang").alias("lang_pred")).agg(
+        F.coalesce(
+            F.percentile_approx(F.when(F.col("aside"), own), F.lit(ACCEPTED), F.lit(1000)),
+            F.percentile_approx(own, F.lit(ACCEPTED), F.lit(1000)),
+        ).alias("most")
+    )
+    results = results.withColumn("lang_pred", F.coalesce(F.col("best.lang"), F.lit(UNKNOWN)))
     return (
-        results.withColumn("lang_pred", F.coalesce(F.col("best.lang"), F.lit(UNKNOWN)))
+        lookup_join(results, limits, ["lang_pred"])
         .select(
             "doc_id",
             "held_out",
             "lang_pred",
             F.coalesce(chance(F.col("best.bits"), F.lit(temperature)), F.lit(0.0)).alias("score"),
             F.col("best.bits").alias("bits"),
-            F.coalesce(F.col("best.bits") <= limits, F.lit(False)).alias("accepted"),
+            F.coalesce(F.col("best.bits") <= F.col("most"), F.lit(False)).alias("accepted"),
         )
     )

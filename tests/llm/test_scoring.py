@@ -331,7 +331,7 @@ def test_probabilities_add_up(spark, monkeypatch):
     rng = random.Random(6)
     rows = [("x", sentence(rng, 60)), ("y", "".join(rng.choice("uvwz ") for _ in range(300)))]
     labelled = spark.createDataFrame(rows, "lang string, text string")
-    models = langid.models_of(langid.fitted(labelled))
+    models = langid.models_of(langid.packed(langid.fitted(labelled)))
     letters = np.arange(65536, dtype=np.uint64)
     for context in ("   ", "abc", "uvw", "zzq"):
         packed = sum(ord(c) << (16 * (3 - i)) for i, c in enumerate(context))
@@ -350,7 +350,7 @@ def test_unseen_grams_get_no_numbers_of_others(spark):
     rng = random.Random(14)
     texts = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(3000)) for _ in range(4)]
     labelled = spark.createDataFrame([("x", t) for t in texts], "lang string, text string")
-    models = langid.models_of(langid.fitted(labelled))
+    models = langid.models_of(langid.packed(langid.fitted(labelled)))
     seen = np.unique(langid.grams(texts)[0])
     assert (models.look("share", 4, seen) > 0).all()
     unseen = np.arange(200_000, dtype=np.uint64) + np.uint64(0x4E00_4E00_4E00_4E00)
@@ -406,7 +406,7 @@ def test_models_equal_dictionaries(spark):
     alphabets = {"adlam": adlam, "latin": "abcdéfg, ", "osage": osage}
     learned = {k: [text(a, 200) for _ in range(3)] for k, a in alphabets.items()}
     rows = [(k, t) for k, texts in learned.items() for t in texts]
-    models = langid.models_of(langid.fitted(spark.createDataFrame(rows, "lang string, text string")))
+    models = langid.models_of(langid.packed(langid.fitted(spark.createDataFrame(rows, "lang string, text string"))))
     assert models.langs == sorted(alphabets)
     want = {k: kneser_ney_want(texts) for k, texts in learned.items()}
     tested = {k: text(a, 150) for k, a in alphabets.items()} | {"mixed": "Ab \U0001E922x 日本"}
@@ -455,6 +455,68 @@ def test_languages_odd_rows(spark):
     assert {(r["lang_pred"], r["score"], r["accepted"]) for r in unlabelled} == {("und", 0.0, False)}
 
 
+def test_joined_models_equal_arrays(spark):
+    """Models that stay a table give the bits of those that are sent out, whatever the text."""
+    rng = random.Random(16)
+    latin, osage = "abcdéfg, ", "".join(chr(0x104D8 + i) for i in range(12)) + " "
+
+    def text(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    learned = [("x", text(latin, 300)), ("y", text(latin[3:], 300)), ("z", text(osage, 300))]
+    models = langid.fitted(spark.createDataFrame(learned, "lang string, text string"))
+    texts = [text(latin, 200), text(osage, 90), "Ab 日本", "日本", "a", "", None, "7!", "\0é\0", text(latin, 70_000)]
+    rows = [(i, t, f"at {i}", 7) for i, t in enumerate([*texts, texts[0]])]
+    docs = spark.createDataFrame(rows, "id int, text string, at string, `a.b` int").repartition(3)
+    want = {r["id"]: r for r in langid.scored(docs, models).collect()}
+    joined = langid.scored(docs, models, most=0)
+    assert joined.columns == [*docs.columns, "entropies"]
+    got = {r["id"]: r for r in joined.collect()}
+    assert joined.count() == len(rows) == len(got)
+    for i, _, at, ab in rows:
+        assert got[i]["entropies"] == pytest.approx(want[i]["entropies"], abs=1e-9)
+        assert (got[i]["at"], got[i]["a.b"]) == (at, ab)
+    assert [i for i in sorted(got) if not got[i]["entropies"]] == [5, 6, 7]
+    assert langid.scored(docs.limit(0), models, most=0).count() == 0
+
+
+def test_joined_models_meet_hot_grams_in_splittable_joins(spark):
+    """A gram of every text meets its bits in a join of two shuffles of their own."""
+    models = langid.fitted(spark.createDataFrame([("x", "abcab"), ("y", "xyz")], "lang string, text string"))
+    docs = spark.range(300).select(F.concat(F.lit("ab "), F.col("id").cast("string")).alias("text"))
+    scored = langid.scored(docs, models, most=0)
+    assert "__spread" in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert {tuple(sorted(r["entropies"])) for r in scored.collect()} == {("x", "y")}
+
+
+def test_predictions_of_joined_models(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    a, b = (
+        {r["doc_id"]: r for r in langid.identified(docs, most=most).collect()} for most in (langid.MODEL_BYTES, 0)
+    )
+    assert a.keys() == b.keys()
+    for i, r in a.items():
+        assert (r["lang_pred"], r["held_out"], r["accepted"]) == (b[i]["lang_pred"], b[i]["held_out"], b[i]["accepted"])
+        assert r["score"] == pytest.approx(b[i]["score"], abs=1e-6)
+    odd = table(spark, odd_rows())
+    assert langid.identified(odd, most=0).count() == odd.count()
+    assert langid.identified(odd.limit(0), most=0).count() == 0
+
+
+def test_rows_set_aside_are_not_learned(spark):
+    """A label that only rows set aside bear is no model; one that all rows bear still has a limit."""
+    def number(i):
+        return zlib.crc32(str(i).encode())
+
+    aside = [i for i in range(3000) if number(i) % 4 != 2 and number(i) // 4 % langid.ASIDE == 0]
+    rest = [i for i in range(3000) if number(i) % 4 != 2 and number(i) // 4 % langid.ASIDE]
+    assert len(aside) == pytest.approx(3000 * 0.75 / langid.ASIDE, rel=0.2)
+    rows = [(i, "nothing but this text", "a") for i in rest[:40]] + [(i, "quite other words", "b") for i in aside[:40]]
+    got = langid.identified(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r["lang_pred"] for r in got} == {"a"}
+    assert {r["accepted"] for r in got if r["doc_id"] in rest} == {True}
+
+
 # Mixing
 
 
