@@ -582,6 +582,65 @@ def test_taken_words_come_near_the_target(spark):
         assert per[r[0]]["size"] == len(split_words(r[1])) and per[r[0]]["taken"] <= 3 * per[r[0]]["size"]
 
 
+def copies_want(rows, targets):
+    """Whole times through each source, then in hash order what fits, twice more, then the nearest."""
+    copies = {}
+    for source in {r["source"] for r in rows}:
+        own = sorted((r for r in rows if r["source"] == source), key=lambda r: (r["range"], r["order"]))
+        total = sum(r["demand"] for r in own)
+        epochs = int(targets[source] // total) if total else 0
+        rest = targets[source] - epochs * total
+        copies |= {r["key"]: epochs if r["demand"] else 0 for r in own}
+        left, gap = [r for r in own if r["demand"]], rest
+        for _ in range(1 + mixing.ROUNDS):
+            start, taken = 0, []
+            for r in left:
+                if r["demand"] <= gap or gap == rest:
+                    if start + r["demand"] <= gap:
+                        taken.append(r)
+                    start += r["demand"]
+            for r in taken:
+                copies[r["key"]] += 1
+            left = [r for r in left if r not in taken]
+            gap -= sum(r["demand"] for r in taken)
+        near = [r for r in left if r["demand"] < 2 * gap]
+        if near:
+            copies[min(near, key=lambda r: (abs(r["demand"] - gap), r["order"]))["key"]] += 1
+    return copies
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_taken_equals_plain_python(spark, seed):
+    """Also where a very long document stands at the cut: short ones beyond it fill the gap."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(400):
+        source = rng.choice(["a", "a", "a", "b", "c", "d", None])
+        size = rng.choice([0, 1, 30, 3000]) if rng.random() < 0.2 else rng.randint(5, 60)
+        rows += [(i, f"{'w ' * size}{i}" if size else None, source)] * rng.choice([1, 1, 1, 3])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    order = mixing.fingerprint(F.col("doc_id"), F.xxhash64("text"), salt=8)
+    hashes = {r[0]: (r[1], (r[1] >> 32) % mixing.RANGES) for r in docs.select("doc_id", order).distinct().collect()}
+    want_rows = []
+    for (i, text, source), n in Counter(rows).items():
+        hashed, at = hashes[i]
+        demand = n * len(split_words(text))
+        want_rows.append({"key": i, "source": source, "demand": demand, "order": hashed, "range": at})
+    got = mixing.mixture(docs).collect()
+    targets = {r["source"]: r["target"] for r in got}
+    sizes = {s: sum(r["demand"] for r in want_rows if r["source"] == s) for s in targets}
+    assert targets == pytest.approx(targets_want(sizes))
+    assert {r["doc_id"]: r["copies"] for r in got} == copies_want(want_rows, targets)
+    for s, target in targets.items():
+        own = [r for r in got if r["source"] == s]
+        lacking = target - sum(r["taken"] * r["rows"] for r in own)
+        least = min((r["copies"] for r in own if r["size"]), default=0)
+        left = [r["size"] * r["rows"] for r in own if r["size"] and r["copies"] == least]
+        assert abs(lacking) <= 30 or not left or min(left) > lacking > 0
+    again = mixing.mixture(docs.repartition(5)).collect()
+    assert {(r["doc_id"], tuple(r["positions"])) for r in got} == {(r["doc_id"], tuple(r["positions"])) for r in again}
+
+
 def test_positions_follow_the_schedule(spark):
     for ramp in mixing.RAMPS:
         df = spark.range(11).select((F.col("id") * 100.0).alias("start"))
