@@ -283,6 +283,62 @@ def test_long_unrelated_texts_with_a_passage(spark):
     assert [tuple(r) for r in got] == [(5, 90)]
 
 
+def shuffled(df) -> list[int]:
+    """Runs the query; the rows that each of its shuffles wrote."""
+    df.collect()
+    counts, plans = [], [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif kind == "ShuffleExchangeExec":
+            counts.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return counts
+
+
+def test_few_sets_are_shuffled_to_verify_few_pairs(spark):
+    rng = random.Random(12)
+    rows = [(i, sentence(rng, 60)) for i in range(2000)]
+    rows += [(2000 + i, rows[i][1] + " more") for i in range(20)]
+    jaccard.ship(spark)
+    sets = jaccard.durable(jaccard.sets_of(table(spark, rows).select("doc_id", "text"), 4))
+    pairs = spark.createDataFrame([(i, 2000 + i) for i in range(20)] + [(5, 6)], "a long, b long")
+    links = jaccard.verified(pairs, sets, 85)
+    counts = shuffled(links)
+    assert counts and max(counts) < 300
+    assert {tuple(r) for r in links.collect()} == {(i, 2000 + i) for i in range(20)}
+
+
+def test_keys_of_several_components_bring_all_documents(spark):
+    """Keys of one component stay; those of several bring all of their documents, by any head."""
+    n = 30_000
+    met = spark.range(n).selectExpr("id AS key", "id AS doc_id", "id AS head")
+    met = met.unionByName(spark.range(n).selectExpr("id AS key", "id + 100000 AS doc_id", "id AS head"))
+    # Of key 7 document 7 is the first, 100007 leads 200007, which is the one apart.
+    more = [(7, 200007, 100007), (8, 200007, 8)]
+    met = jaccard.durable(met.unionByName(spark.createDataFrame(more, "key long, doc_id long, head long")))
+    joined = jaccard.durable(spark.range(n).selectExpr("id + 100000 AS doc_id", "id AS component"))
+    sketch = F.array_repeat(F.lit(1).cast("long"), 16)
+    sets = met.select("doc_id").distinct().select(
+        "doc_id", F.array_repeat(F.lit(1), 90).alias("shingles"), sketch.alias("sketch")
+    )
+    got = jaccard.compared(met, joined, jaccard.durable(sets), 80)
+    assert {tuple(r) for r in got.collect()} == {(7, 200007), (100007, 200007), (8, 200007), (100008, 200007)}
+
+
+@pytest.mark.parametrize("filtered", [0, 1 << 23])
+def test_jaccard_with_a_filter_or_a_join(spark, monkeypatch, filtered):
+    monkeypatch.setattr(jaccard, "FILTERED", filtered)
+    rows = near_copies(6, 120)
+    got = jaccard.near_duplicates(table(spark, rows), words=4, percent=85).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == components_want(rows)
+
+
 def test_filters_grow_with_their_content(spark):
     rows = spark.range(200_000).withColumnRenamed("id", "doc_id")
     for wanted in (0, 1, 40_000):
