@@ -150,6 +150,34 @@ def test_word_vocabulary_over_code_points(monkeypatch):
     assert got == want
 
 
+class Counting:
+    """Passes texts on to a tokenizer and counts them."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("marks", [True, False])
+def test_new_words_are_encoded_many_in_a_text(marks):
+    rng = random.Random(4)
+    letters = "abcdefghé日жñ"
+    words = list({"".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(3000)})
+    # Letters, digits and marks that the library may take for something else than Python does.
+    words += ["x" * 3000, "ab1", "12", "'s", "it's", "Ⅷ", "²", "ªº", "ʰʲ", "ၐ", "ꟊa", "\U00011f02b", "\U0001e4d0", "\u2060a", "a\ufeffb"]
+    own = tokenfiles.ChunkEncoder(open(WORDS).read())
+    own.tokenizer = Counting(own.tokenizer)
+    if not marks:
+        own.final[:] = False
+    rows = [" ".join(words[i : i + 7]) + "." for i in range(0, len(words), 7)]
+    lib = library(WORDS)
+    assert flat(own, pa.array(rows)) == [e.ids for e in lib.encode_batch(rows, add_special_tokens=False)]
+    assert (own.tokenizer.texts < 200) == marks
+
+
 def test_runs_of_rows():
     assert tokenfiles.runs(np.array([3, 3, 9, 1, 1]), 6) == [2, 1, 2]
     assert tokenfiles.runs(np.array([], int)) == [] and tokenfiles.runs(np.array([7]), 6) == [1]
